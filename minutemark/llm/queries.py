@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, mixing, packing, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,24 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_documents(spark, sf_dir), shards=16)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir), bits=3)
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3))
+
+
+def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return packing.pack_documents(_documents(spark, sf_dir), path("word_bpe_49k.json"), cap=2048)
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_shards": op8_byte_shards,
+    "op10_pack_sequences": op10_pack_sequences,
 }
