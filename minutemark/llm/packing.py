@@ -105,10 +105,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, with_
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
-def _exact(counts: np.ndarray, cap: int, gap: int) -> list[int] | None:
-    """One, two or three available lengths that add up to ``gap``, most plentiful first."""
-    if counts[gap] > 0:
+def _exact(counts: np.ndarray, gap: int, most: int) -> list[int] | None:
+    """One to ``most`` (3 at the highest) available lengths that add up to ``gap``, most plentiful first."""
+    if most > 0 and counts[gap] > 0:
         return [gap]
+    if most < 2:
+        return None
 
     def pair(total: int) -> tuple[int, list[int]] | None:
         high = np.arange((total + 1) // 2, total)
@@ -121,7 +123,7 @@ def _exact(counts: np.ndarray, cap: int, gap: int) -> list[int] | None:
 
     if found := pair(gap):
         return found[1]
-    for third in np.flatnonzero(counts[: gap - 1])[::-1].tolist():
+    for third in np.flatnonzero(counts[: max(0, gap - 1)])[::-1].tolist() if most > 2 else []:
         counts[third] -= 1
         found = pair(gap - third)
         counts[third] += 1
@@ -133,13 +135,20 @@ def _exact(counts: np.ndarray, cap: int, gap: int) -> list[int] | None:
 def plan_sequences(histogram: dict[int, int], cap: int) -> list[tuple[dict[int, int], int]]:
     """Sequence patterns (length to how often, number of sequences) that hold all pieces of a length histogram.
 
-    Lengths are served from the longest. While single lengths, pairs or triples
-    fill the gap beside a length exactly, as many such sequences are made as
-    the counts allow. What finds no exact complement is packed best-fit, again
-    from the longest: each goes where the least room is left. The work depends
-    on the number of distinct lengths, at most ``cap``, not on the number of
-    pieces.
+    Lengths are served from the longest. While other lengths fill the gap
+    beside one exactly, as many such sequences are made as the counts allow.
+    What finds no exact complement is packed best-fit, again from the longest:
+    each goes where the least room is left. Pairs and triples help where short
+    pieces abound and waste them where each long piece needs its own, so the
+    plan is made with complements of up to 3, 2, 1 and no lengths, and the one
+    with the fewest sequences is used. The work depends on the number of
+    distinct lengths, at most ``cap``, not on the number of pieces.
     """
+    plans = (_plan(histogram, cap, most) for most in (3, 2, 1, 0))
+    return min(plans, key=lambda plan: sum(n for _, n in plan))
+
+
+def _plan(histogram: dict[int, int], cap: int, most: int) -> list[tuple[dict[int, int], int]]:
     counts = np.zeros(cap + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
@@ -151,7 +160,7 @@ def plan_sequences(histogram: dict[int, int], cap: int) -> list[tuple[dict[int,
     for length in range(cap - 1, 0, -1):
         while counts[length] > 0:
             counts[length] -= 1
-            fill = _exact(counts, cap, cap - length)
+            fill = _exact(counts, cap - length, most)
             counts[length] += 1
             if fill is None:
                 left[length], counts[length] = counts[length], 0
