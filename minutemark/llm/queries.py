@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, media, mixing, packing, sharding, simhash
+from . import chat, exact_dedup, media, mixing, packing, quality, sharding, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), bits=3)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     control = spark.range(2).select(
@@ -55,6 +59,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_media_archives": op1_media_archives,
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
     "op4_chat_windows": op4_chat_windows,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
