@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections import Counter
@@ -10,13 +11,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, ordered_prefix, text_or_empty
 
 #: Words kept with their ids in each Python worker; beyond so many the older half goes.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 700_000
 
 #: What the fast path may meet: here the tokenizer's normal forms and classes are those of Python.
 _PLAIN = re.compile(r"[\x21-\x7e¡-¬®-įı-ɏ‐-‧‰-⁞€]*\Z")
@@ -34,23 +36,38 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.model = self.tokenizer.model
+        split, octets = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
+        if (split["type"], octets["type"]) != ("Split", "ByteLevel"):
+            raise ValueError("this tokenizer doesn't split words by a pattern and map bytes to letters")
+        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        # Byte-level BPE writes printable bytes as themselves and the others, in order, as letters from 256 on.
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in set(printable)]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes | bool] = {}
         self.old: dict[str, bytes | bool] = {}
 
+    def _encode(self, word: str) -> bytes | bool:
+        word = word.lower()
+        if word.isascii() and word.isprintable():
+            pieces = (word,) if word.isalpha() else self.pieces(word)
+        elif _PLAIN.match(word):
+            pieces = [p.encode().decode("latin-1").translate(self.letters) for p in self.pieces(word)]
+        else:
+            return False
+        return np.array([t.id for p in pieces for t in self.model.tokenize(p)], "<u4").tobytes()
+
     def _word(self, word: str) -> bytes | bool:
-        found = self.old.get(word)
+        found = self.young.get(word)
         if found is None:
-            if _PLAIN.match(word):
-                model = self.tokenizer.model
-                ids = [t.id for piece, _ in self.split(word.lower()) for t in model.tokenize(piece)]
-                found = np.array(ids, "<u4").tobytes()
-            else:
-                found = False
-        if len(self.young) >= CACHED_WORDS // 2:
-            self.old, self.young = self.young, {}
-        self.young[word] = found
+            found = self.old.get(word)
+            if found is None:
+                found = self._encode(word)
+            if len(self.young) >= CACHED_WORDS // 2:
+                self.old, self.young = self.young, {}
+            self.young[word] = found
         return found
 
     def ids(self, text: str) -> bytes:
