@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, media, mixing, packing, quality, sharding, simhash
+from . import chat, exact_dedup, media, mixing, packing, quality, sharding, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_conversations(chat.format_windows(turns.unionByName(control), budget=512, history=128))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_chat_windows": op4_chat_windows,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_shards": op8_byte_shards,
