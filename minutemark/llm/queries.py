@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, media, mixing, packing, quality, sharding, simhash, suffix_dedup
+from . import chat, exact_dedup, media, mixing, packing, passages, quality, sharding, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), weights=(1, 2, 3))
 
 
+def op9_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(_documents(spark, sf_dir))
+
+
 def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import path
 
@@ -69,5 +73,6 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_shards": op8_byte_shards,
+    "op9_shared_passages": op9_shared_passages,
     "op10_pack_sequences": op10_pack_sequences,
 }
