@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that their Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="spark-minutemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, package), "zip", root, package))
+        _shipped.add(app)
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
