@@ -73,7 +73,7 @@ def _sided(pairs: DataFrame, identities: DataFrame) -> DataFrame:
 
 
 def pair_rule(pairs: DataFrame, identities: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds to (scope, a, b) the strongest rule by which the two may be one person: rule, score, partial, full.
+    """Add to (scope, a, b) the strongest rule by which the two may be one person: rule, score, partial, full.
 
     Pairs that no rule links have a null rule. Only built-in expressions are used.
     """
@@ -315,7 +315,8 @@ def link_identities(
     """
     pool = cut(pool, "pool")
     first = pool.select("scope", "key", F.col("key").alias("canonical"))
-    reduced, logs = described(pool), []
+    whole = cut(described(pool), "identities")
+    reduced, logs = whole, []
 
     def refusals(refused: DataFrame) -> DataFrame:
         return refused.select(
@@ -333,7 +334,7 @@ def link_identities(
             break
         logs.append(merged)
         first = cut(_then(first, step), "mapping")
-        reduced = described(cut(aggregate(pool, first), "reduced"))
+        reduced = cut(described(aggregate(pool, first)), "identities")
     links, refused = candidate_links(reduced, NAMING, threshold, within_meeting)
     second, evidence = cluster(reduced, links, threshold, cannot_link_us)
     logs += [refusals(refused), evidence]
@@ -342,7 +343,7 @@ def link_identities(
         told = told.unionByName(log)
     told = cut(told, "evidence")
     partial = told.filter("reason IS NULL AND rule <> 'ocr_variant'").select("scope", F.col("a").alias("key"), F.lit(True).alias("absorbed")).distinct()
-    grouped = described(pool).join(_then(first, second), ["scope", "key"]).join(partial, ["scope", "key"], "left")
+    grouped = whole.join(_then(first, second), ["scope", "key"]).join(partial, ["scope", "key"], "left")
     order = F.struct(F.col("absorbed").isNull().alias("stands"), credibility().alias("c"))
     name = grouped.groupBy("scope", "canonical").agg(F.max_by("key", order).alias("name"))
     mapping = grouped.select("scope", "key", "canonical").join(name, ["scope", "canonical"]).select("scope", "key", F.col("name").alias("canonical"))
