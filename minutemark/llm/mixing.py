@@ -10,6 +10,9 @@ from .common import WORD, cut, ordered_prefix, text_or_empty, word_count
 #: Documents that meet in one task's fold, on average; the tree has log(rows) / log(BLOCK) levels.
 BLOCK = 256
 
+#: Draws of each source's last block; the one that leaves the least to be rounded is taken.
+DRAWS = 16
+
 #: No document is taken more often than this.
 MOST_COPIES = 3
 
@@ -30,7 +33,7 @@ def _moved(item: str, mass: str) -> str:
     )
 
 
-def _fold(seed: int) -> str:
+def _fold(seed: str) -> str:
     """Pivotal rounding of an array of items: all but one become integral, and their expected masses stay.
 
     Item a is the one carried along and b the next. Either a gives b the mass
@@ -108,8 +111,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     rounding decides these: blocks of about BLOCK documents of one source are
     folded, each leaves one undecided document, and these form the next level's
     blocks, until one is left for each source; it is rounded to the nearer
-    side. Mass moves between documents without loss, so a source's taken words
-    differ from its target by at most half the size of one document.
+    side. The last block is drawn DRAWS times and the draw kept that leaves
+    the least to be rounded. Mass moves between documents without loss, so a
+    source's taken words differ from its target by at most half the size of
+    one document, and mostly by far less.
 
     The block and the draws come from hashes of doc_id, size and ``seed``: reruns
     agree on any partitioning. Rows that repeat doc_id, source and size are
@@ -147,6 +152,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     most = rated.agg(F.max("n_items")).first()[0] or 0
     depth = 0
     while True:
+        most = -(-most // BLOCK)
+        last = most <= 1
         blocks = F.ceil(F.col("n_items") / BLOCK).cast("long")
         place = F.pmod(F.xxhash64("item.doc_id", "item.size", F.lit(seed + depth)), blocks)
         # Large documents first: what is left undecided at the end of a fold is then rather small.
@@ -163,13 +170,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
                     "WHEN x.mass < y.mass THEN -1 WHEN x.mass > y.mass THEN 1 ELSE 0 END)"
                 ),
             )
-            .withColumn("out", F.expr(_fold(seed + depth)))
-            .select(*info, "n_items", "out.cur", "out.done")
         )
+        if last:
+            # One block for each source: its draws are as many rows, of which one is kept.
+            folded = folded.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))))
+        folded = folded.withColumn("out", F.expr(_fold(f"{seed + depth} + draw" if last else str(seed + depth)))).select(
+            *info, "n_items", "out.cur", "out.done", *(["draw"] if last else [])
+        )
+        if last:
+            rest = F.least("cur.mass", F.col("cur.room") - F.col("cur.mass"))
+            folded = folded.groupBy(*info, "n_items").agg(F.min_by(F.struct("cur", "done"), F.struct(rest, "draw")).alias("o"))
+            folded = folded.select(*info, "n_items", "o.cur", "o.done")
         folded = cut(folded, f"level{depth}")
         settled.append(folded.select(*info, F.explode("done").alias("d")).select(*info, "d.*"))
-        most = -(-most // BLOCK)
-        if most <= 1:
+        if last:
             break
         level = folded.select(*info, "n_items", F.col("cur").alias("item"))
         depth += 1
