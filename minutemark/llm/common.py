@@ -1,49 +1,15 @@
-"""Helpers that several operators share: the shared folder, cut lineage, global prefix sums."""
+"""Helpers that several operators share: the shared folder, cut lineage, words, global prefix sums."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shared import cut, shared_dir  # noqa: F401  the operators take both from here
+
 #: What separates words, in every operator that counts or shingles them.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A new folder's URI under ``spark.checkpoint.dir``.
-
-    Where that setting is missing, a local master gets a temporary folder; on a
-    cluster that would lose data, so it is an error there.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext
-        if not (app.master == "local" or app.master.startswith("local[")):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-        if app.applicationId not in _own:
-            _own[app.applicationId] = folder = tempfile.mkdtemp(prefix="spark-minutemark-")
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        base = "file://" + _own[app.applicationId]
-    return f"{base.rstrip('/')}/minutemark/{tag}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return it as read from there.
-
-    The lineage ends at that table: a lost executor costs a re-read, and a
-    result that is used twice is computed once.
-    """
-    path = shared_dir(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
