@@ -280,10 +280,10 @@ def _strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = unpack(row["packed"])
                 for ask in row["asked"]:
                     string = raw[ask["first"] : ask["last"] + WINDOW]
-                    rows.append((ask["key"], row["doc"], row["digest"], ask["first"], ask["wanted"], string))
+                    rows.append((ask["key"], ask["hot"], row["doc"], row["digest"], ask["first"], ask["wanted"], string))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in zip(*rows)], ["key", "doc", "digest", "first", "wanted", "string"]
+                    [pa.array(c) for c in zip(*rows)], ["key", "hot", "doc", "digest", "first", "wanted", "string"]
                 )
 
 
@@ -321,6 +321,39 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from report(open_)
 
 
+def window_digests(string: bytes) -> np.ndarray:
+    """128-bit digests of a string's windows, as rows of two numbers."""
+    return np.frombuffer(
+        b"".join(xxhash.xxh3_128_digest(string[i : i + WINDOW]) for i in range(len(string) - WINDOW + 1)), np.int64
+    ).reshape(-1, 2)
+
+
+def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digests of the windows of strings, and where these start."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 64):
+            out = []
+            for row in batch.slice(lo, 64).to_pylist():
+                digests = window_digests(row["string"])
+                same = [np.full(len(digests), row[c]) for c in ("doc", "digest")]
+                out.append((digests[:, 0], digests[:, 1], *same, row["first"] + np.arange(len(digests)), np.full(len(digests), row["wanted"])))
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays(columns, ["one", "two", "doc", "digest", "at", "wanted"])
+
+
+def repeated_in_hot_keys(strings: DataFrame) -> DataFrame:
+    """Repeated windows of the strings of keys with more than a shard's bytes: doc, digest, first, last.
+
+    Windows are counted by digest, on the map side first, so no key's strings
+    have to meet in a task, and the work grows with their bytes only.
+    """
+    windows = cut(
+        strings.mapInArrow(_windows, "one long, two long, doc long, digest long, at long, wanted boolean"), "hot-windows"
+    )
+    twice = windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("one", "two")
+    return windows.filter("wanted").join(twice, ["one", "two"], "left_semi").select("doc", "digest", F.col("at").alias("first"), F.col("at").alias("last"))
+
+
 def _removals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From each text and its repeated windows: bytes and runs removed, and the rest's SHA-256."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -364,8 +397,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
        whose whole bytes come twice are settled by that.
     3. The other runs under such keys go, as strings, to the shards of their
        keys: suffix arrays with common prefixes tell which windows repeat. All
-       equal windows share a key, so no shard needs another's strings unless
-       one key fills several, which then search each other.
+       equal windows share a key, so no shard needs another's strings. The windows
+       of a key with more bytes than a shard are counted by digest instead.
     4. The settled and found windows are put together with the texts again.
 
     Counts by key are summed on the map side, so a passage that many texts share is
@@ -393,7 +426,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "distinct-runs",
     )
     by_key = by_run.groupBy("key").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max("twice").alias("any_twice")
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max("twice").alias("any_twice"),
+        (F.sum(F.col("one.last") - F.col("one.first") + WINDOW) > SHARD).alias("hot"),
     )
     live = cut(by_run.join(by_key.filter("total > 1 OR any_twice"), "key"), "live-runs")
     settled = (
@@ -401,20 +435,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     asked = (
         live.filter("kinds > 1 OR any_twice")
-        .select("one.*", "key", (F.col("n") == 1).alias("once"))
+        .select("one.*", "key", "hot", (F.col("n") == 1).alias("once"))
         .groupBy("doc", "digest")
-        .agg(F.collect_list(F.struct("key", "first", "last", (F.col("once") & F.col("single")).alias("wanted"))).alias("asked"))
+        .agg(F.collect_list(F.struct("key", "hot", "first", "last", (F.col("once") & F.col("single")).alias("wanted"))).alias("asked"))
     )
-    strings = (
+    strings = cut(
         _packed(docs)
         .join(asked.hint("merge"), ["doc", "digest"])
         .select("doc", "digest", "packed", "asked")
-        .mapInArrow(_strings, "key long, doc long, digest long, first long, wanted boolean, string binary")
+        .mapInArrow(_strings, "key long, hot boolean, doc long, digest long, first long, wanted boolean, string binary"),
+        "strings",
     )
     found = (
-        strings.repartition(n, "key")
+        strings.filter("NOT hot").drop("hot").repartition(n, "key")
         .sortWithinPartitions("key")
         .mapInArrow(_shards, "doc long, digest long, first long, last long")
+        .unionByName(repeated_in_hot_keys(strings.filter("hot").drop("hot")))
     )
     spans = (
         settled.unionByName(cut(found, "repeated-windows"))

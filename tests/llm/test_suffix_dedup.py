@@ -119,3 +119,19 @@ def test_keys_that_fill_several_shards(spark, monkeypatch):
     starts = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
     for d, t in enumerate(texts):
         assert got.get(d, set()) == {i for i in range(len(t) - 399) if starts[t[i : i + 400]] > 1}
+
+
+def test_no_task_gets_a_hot_key_whole(spark, monkeypatch):
+    """A passage in many surroundings: its strings, more than a shard holds, never come to the tasks of one key."""
+    draw = random.Random(11)
+    passage = "".join(draw.choices("abcdefgh ", k=450))
+    texts = ["".join(draw.choices("ijklmn ", k=300)) + passage + "".join(draw.choices("opqrst ", k=200 + i)) for i in range(25)]
+    texts += [passage[:420] + "!" * i for i in range(5)] + ["ab" * 400, "ab" * 400 + "c", texts[0]]
+    monkeypatch.setattr(sd, "SHARD", 2500)
+    sizes = []
+    hot = sd.repeated_in_hot_keys
+    monkeypatch.setattr(sd, "repeated_in_hot_keys", lambda strings: (sizes.append(strings.count()), hot(strings))[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in sd.remove_repeats(docs).drop("spans").collect())
+    assert got == [(i, *b) for i, b in enumerate(brute([t.encode() for t in texts], 400))]
+    assert sizes[0] >= 25
