@@ -47,7 +47,7 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir), report=suffix_dedup.REPORT)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,3 +135,35 @@ def test_no_task_gets_a_hot_key_whole(spark, monkeypatch):
     got = sorted(tuple(r) for r in sd.remove_repeats(docs).drop("spans").collect())
     assert got == [(i, *b) for i, b in enumerate(brute([t.encode() for t in texts], 400))]
     assert sizes[0] >= 25
+
+
+@pytest.mark.parametrize("seed,shard", [(7, 1 << 20), (8, 2500)])
+def test_shorter_repeats_are_reported_and_stay(spark, monkeypatch, seed, shard):
+    """Strings of 256 bytes that repeat are counted, those of 400 removed; small shards make keys hot."""
+    monkeypatch.setattr(sd, "SHARD", shard)
+    texts = corpus(seed, 8)
+    draw = random.Random(seed)
+    short = "".join(draw.choices("abcdefgh ", k=300))
+    texts += ["".join(draw.choices("ijklmn ", k=k)) + short + "".join(draw.choices("opq ", k=k)) for k in (0, 20, 500, 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in sd.remove_repeats(docs, report=256).drop("spans").collect())
+    raws = [(t or "").encode() for t in texts]
+    want = [(i, *a, b[1]) for i, (a, b) in enumerate(zip(brute(raws, 400), brute(raws, 256)))]
+    assert got == want and any(r[2] == 0 and r[5] >= 300 for r in got)
+
+
+def test_shards_of_one_key_find_each_other():
+    """What windows share is the same, however their strings are parted."""
+    draw = random.Random(3)
+    base = "".join(draw.choices("ab\0", k=700)).encode()
+    strings = [base[a:b] + bytes(draw.choices(b"xyz\0", k=draw.randint(0, 60))) for a, b in ((0, 500), (0, 500), (3, 620), (90, 700), (120, 600))]
+    windows = [max(1, len(s) - 430) for s in strings]
+    owners = [(i, 0, 0, True) for i in range(len(strings))]
+    whole = sd.Shard(strings, owners, windows)
+    parts = [sd.Shard([s], [o], [w]) for s, o, w in zip(strings, owners, windows)]
+    for a in parts:
+        for b in parts:
+            if a is not b:
+                a.find(b)
+    for width in (256, 300, 400):
+        assert sorted(whole.spans(width)) == sorted(x for p in parts for x in p.spans(width))
