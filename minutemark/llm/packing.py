@@ -6,11 +6,13 @@ import bisect
 import json
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,17 +20,33 @@ from pyspark.sql import functions as F
 from .common import cut, ordered_prefix, text_or_empty
 
 #: Words kept with their ids in each Python worker; beyond so many the older half goes.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_000_000
 
-#: What the fast path may meet: here the tokenizer's normal forms and classes are those of Python.
-_PLAIN = re.compile(r"[\x21-\x7e¡-¬®-įı-ɏ‐-‧‰-⁞€]*\Z")
+#: Bytes of text that are split and counted at once; a longer text is taken alone.
+SLICE = 16 << 20
+
+#: Where the tokenizer's normal forms and classes are those of Python and Arrow: ranges of code points, both ends in.
+_RANGES = ((0x09, 0x0D), (0x20, 0x7E), (0xA1, 0xAC), (0xAE, 0x12F), (0x131, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC))
+
+
+def _other_characters() -> str:
+    """A pattern for characters that are not in the ranges, or leave them in lower case."""
+    inside = {c for lo, hi in _RANGES for c in range(lo, hi + 1)}
+    plain = sorted(c for c in inside if all(ord(x) in inside for x in chr(c).lower()))
+    parts, lo = [], plain[0]
+    for c, after in zip(plain, [*plain[1:], None]):
+        if after != c + 1:
+            parts.append(f"\\x{{{lo:x}}}-\\x{{{c:x}}}")
+            lo = after
+    return f"[^{''.join(parts)}]"
 
 
 class WordTokenizer:
     """Ids of whole texts by a BPE tokenizer that never merges across white space.
 
-    Each distinct word is encoded once and its ids kept as bytes; texts with
-    special tokens or characters outside the plain range go through the
+    The words of many texts are split, lower-cased and told apart by Arrow; each
+    distinct one is encoded once and its ids gathered for all its places. Texts
+    with special tokens or characters outside the plain ranges go through the
     tokenizer as they are, so the ids always equal ``encode``'s.
     """
 
@@ -40,45 +58,74 @@ class WordTokenizer:
         split, octets = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"]
         if (split["type"], octets["type"]) != ("Split", "ByteLevel"):
             raise ValueError("this tokenizer doesn't split words by a pattern and map bytes to letters")
-        self.pieces = regex.compile(split["pattern"]["Regex"]).findall
+        self.parts = regex.compile(split["pattern"]["Regex"]).findall
         # Byte-level BPE writes printable bytes as themselves and the others, in order, as letters from 256 on.
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(printable)]
         self.letters = {b: 256 + i for i, b in enumerate(others)}
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes | bool] = {}
-        self.old: dict[str, bytes | bool] = {}
-
-    def _encode(self, word: str) -> bytes | bool:
-        word = word.lower()
-        if word.isascii() and word.isprintable():
-            pieces = (word,) if word.isalpha() else self.pieces(word)
-        elif _PLAIN.match(word):
-            pieces = [p.encode().decode("latin-1").translate(self.letters) for p in self.pieces(word)]
-        else:
-            return False
-        return np.array([t.id for p in pieces for t in self.model.tokenize(p)], "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes | bool:
-        found = self.young.get(word)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_other_characters(), *map(re.escape, special)])
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _keep(self, word: str, ids: bytes) -> bytes:
+        if len(self.young) >= CACHED_WORDS // 2:
+            self.old, self.young = self.young, {}
+        self.young[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        found = self.young.get(part)
         if found is None:
-            found = self.old.get(word)
+            found = self.old.get(part)
             if found is None:
-                found = self._encode(word)
-            if len(self.young) >= CACHED_WORDS // 2:
-                self.old, self.young = self.young, {}
-            self.young[word] = found
+                letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+                found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            self._keep(part, found)
         return found
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word in lower case."""
+        if word.isalpha():
+            return self._part(word)
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return self._part(word[:-1]) + self._part(word[-1])
+        found = self.young.get(word) or self.old.get(word)
+        return self._keep(word, found or b"".join(map(self._part, self.parts(word))))
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts without nulls, an id 0 after each, and where each text's ids end."""
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        plain = texts if not odd.any() else pc.if_else(pa.array(odd), "", texts)
+        lists = pc.utf8_split_whitespace(pc.utf8_lower(plain))
+        flat = lists.flatten()
+        # Splitting leaves empty words at white space on a text's ends: they have no ids.
+        coded = flat.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        known = list(map(self.young.get, words))
+        known = [self._word(w) if k is None and w else k or b"" for w, k in zip(words, known)]
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = np.frombuffer(b"".join(known) + b"\0\0\0\0", "<u4")
+        starts, sizes = np.r_[np.cumsum(sizes) - sizes, len(table) - 1], np.r_[sizes, 1]
+        counts = np.diff(lists.offsets.to_numpy())
+        n = len(texts)
+        place = np.full(len(flat) + n, len(known), np.int64)  # where no word is, a text ends
+        place[np.arange(len(flat)) + np.repeat(np.arange(n), counts)] = coded.indices.to_numpy()
+        lengths = sizes[place]
+        ends = np.cumsum(lengths)
+        ids = table[np.repeat(starts[place] - ends + lengths, lengths) + np.arange(ends[-1] if n else 0)]
+        stops = ends[np.cumsum(counts + 1) - 1]
+        if odd.any():
+            parts = np.split(ids, stops[:-1])
+            for i in np.flatnonzero(odd).tolist():
+                found = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids
+                parts[i] = np.array([*found, 0], "<u4")
+            ids, stops = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return ids, stops
+
     def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
-        if not any(s in text for s in self.special):
-            parts = list(map(self.young.get, words := text.split()))
-            if None in parts:
-                parts = [self._word(w) if p is None else p for w, p in zip(words, parts)]
-            if False not in parts and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                return b"".join(parts)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        """One text's ids as little-endian unsigned 32-bit numbers."""
+        return self.ids_of(pa.array([text], pa.string()))[0][:-1].tobytes()
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -90,6 +137,16 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about SLICE bytes of text; a longer text is a run of its own."""
+    sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    step = np.cumsum(sizes.astype(np.int64)) // SLICE
+    edges = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(edges, edges[1:]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, with_ids: bool = False) -> DataFrame:
     """Tokenize whole texts, end each with id 0 and cut those longer than ``length``.
 
@@ -99,17 +156,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, with_
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(tokenizer_path).ids
-        width = 4 * length
+        encode = _tokenizer(tokenizer_path).ids_of
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                rows = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    ids = encode(text.as_py() or "") + b"\0\0\0\0"
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        cut_ids = ids[at : at + width]
-                        rows.append((doc, k, at // 4, len(cut_ids) // 4, zlib.crc32(cut_ids), cut_ids))
+            for part in _slices(batch):
+                ids, stops = encode(part.column(1))
+                octets, rows, lo = ids.view(np.uint8).data, [], 0
+                for doc, hi in zip(part.column(0).to_pylist(), stops.tolist()):
+                    for k, at in enumerate(range(lo, hi, length)):
+                        end = min(at + length, hi)
+                        cut_ids = octets[4 * at : 4 * end]
+                        rows.append((doc, k, at - lo, end - at, zlib.crc32(cut_ids), bytes(cut_ids) if with_ids else None))
+                    lo = hi
                 columns = list(zip(*rows))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
@@ -156,12 +213,12 @@ def plan_sequences(histogram: dict[int, int], cap: int) -> list[tuple[dict[int,
     beside one exactly, as many such sequences are made as the counts allow.
     What finds no exact complement is packed best-fit, again from the longest:
     each goes where the least room is left. Pairs and triples help where short
-    pieces abound and waste them where each long piece needs its own, so the
-    plan is made with complements of up to 3, 2, 1 and no lengths, and the one
-    with the fewest sequences is used. The work depends on the number of
-    distinct lengths, at most ``cap``, not on the number of pieces.
+    pieces abound and waste them where each long piece needs its own, so the plan is
+    made with exact complements of up to 3, 2 and 1 lengths, and the one with the
+    fewest sequences is used. The work depends on the number of distinct lengths,
+    at most ``cap``, not on the number of pieces.
     """
-    plans = (_plan(histogram, cap, most) for most in (3, 2, 1, 0))
+    plans = (_plan(histogram, cap, most) for most in (3, 2, 1))
     return min(plans, key=lambda plan: sum(n for _, n in plan))
 
 
