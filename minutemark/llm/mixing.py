@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, ordered_prefix, text_or_empty, word_count
+from .common import WORD, cut, ordered_prefix, text_or_empty, unused, word_count
 
 #: Documents that meet in one task's fold, on average; the tree has log(rows) / log(BLOCK) levels.
 BLOCK = 256
 
-#: Draws of each source's last block; the one that leaves the least to be rounded is taken.
-DRAWS = 16
-
 #: No document is taken more often than this.
 MOST_COPIES = 3
 
@@ -110,13 +107,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     times, and the rest of the rate is its chance of one copy more. Pivotal
     rounding decides these: blocks of about BLOCK documents of one source are
     folded, each leaves one undecided document, and these form the next level's
-    blocks, until one is left for each source; it is rounded to the nearer
-    side. The last block is drawn DRAWS times and the draw kept that leaves
-    the least to be rounded. Mass moves between documents without loss, so a
-    source's taken words differ from its target by at most half the size of
-    one document, and mostly by far less.
+    blocks, until one is left for each source; it goes up with the chance that
+    its mass has reached. So each document keeps its chance whatever the source's
+    size. Mass moves between documents without loss: a source's taken words differ
+    from its target by less than the size of one document, the one that is left,
+    which is rather a small one as large documents are settled first.
 
-    The block and the draws come from hashes of doc_id, size and ``seed``: reruns
+    The block and the chances come from hashes of doc_id, size and ``seed``: reruns
     agree on any partitioning. Rows that repeat doc_id, source and size are
     decided together, as one document of their joint size, and each is
     returned. Documents without words are returned with taken 0, sources
@@ -171,29 +168,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
                 ),
             )
         )
-        if last:
-            # One block for each source: its draws are as many rows, of which one is kept.
-            folded = folded.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))))
-        folded = folded.withColumn("out", F.expr(_fold(f"{seed + depth} + draw" if last else str(seed + depth)))).select(
-            *info, "n_items", "out.cur", "out.done", *(["draw"] if last else [])
-        )
-        if last:
-            rest = F.least("cur.mass", F.col("cur.room") - F.col("cur.mass"))
-            folded = folded.groupBy(*info, "n_items").agg(F.min_by(F.struct("cur", "done"), F.struct(rest, "draw")).alias("o"))
-            folded = folded.select(*info, "n_items", "o.cur", "o.done")
+        folded = folded.withColumn("out", F.expr(_fold(str(seed + depth)))).select(*info, "n_items", "out.cur", "out.done")
         folded = cut(folded, f"level{depth}")
         settled.append(folded.select(*info, F.explode("done").alias("d")).select(*info, "d.*"))
         if last:
             break
         level = folded.select(*info, "n_items", F.col("cur").alias("item"))
         depth += 1
+    # What is left of a source is one document's mass: its share of the room is the document's chance.
+    chance = F.shiftrightunsigned(F.xxhash64("cur.doc_id", "cur.size", "source", F.lit(seed + depth + 1)), 11) / F.lit(float(2**53))
     settled.append(
         folded.select(
-            *info,
-            "cur.doc_id",
-            "cur.size",
-            "cur.m",
-            (F.col("cur.mass") * 2 >= F.col("cur.room")).cast("int").alias("up"),
+            *info, "cur.doc_id", "cur.size", "cur.m", (chance * F.col("cur.room") < F.col("cur.mass")).cast("int").alias("up")
         )
     )
     out = settled[0]
@@ -211,7 +197,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; its columns stay as they are.
+    """The rows of ``docs``, each as often as the mix takes it; its columns, of any names, stay as they are.
 
     A document without words can fill no target: it is left out, as one that is taken 0 times.
     """
@@ -221,11 +207,14 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int =
         F.col("size").alias("_size"),
         (F.col("taken") / F.col("size")).cast("int").alias("_copies"),
     ).distinct()
-    mine = docs.withColumn("_words", word_count(text_or_empty()).cast("long"))
+    names = {c: unused(docs, c) for c in ("id", "source", "size", "copies")}
+    plan = plan.select(*[F.col(f"_{c}").alias(name) for c, name in names.items()])
+    mine = docs.withColumn(words := unused(docs, "words"), word_count(text_or_empty()).cast("long"))
     joined = mine.join(
         plan,
-        mine["doc_id"].cast("long").eqNullSafe(plan["_id"])
-        & mine["source"].cast("string").eqNullSafe(plan["_source"])
-        & (mine["_words"] == plan["_size"]),
+        mine["doc_id"].cast("long").eqNullSafe(plan[names["id"]])
+        & mine["source"].cast("string").eqNullSafe(plan[names["source"]])
+        & (mine[words] == plan[names["size"]]),
     )
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    again = F.explode(F.sequence(F.lit(1), F.col(names["copies"])))
+    return joined.withColumn(unused(docs, "copy"), again).select(*docs.columns)
