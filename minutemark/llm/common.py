@@ -19,6 +19,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A name for a helper column that no column of ``df`` has, whatever their case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{stem}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """Number of words, without building them: runs of separators, less the leading and closing ones."""
     squeezed = F.regexp_replace(text, WORD, "w")

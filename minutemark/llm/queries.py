@@ -16,7 +16,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
-    return index.ingest(_documents(spark, sf_dir))
+    return index.ingest_parts(_documents(spark, sf_dir), parts=2)
 
 
 def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

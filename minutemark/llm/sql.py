@@ -1,10 +1,12 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+# Rows that repeat doc_id and text are one document.
 OP7 = """
-SELECT doc_id,
+SELECT DISTINCT
+       doc_id,
        max(doc_id) OVER w AS keep_id,
        count(*) OVER w AS group_size,
-       doc_id = max(doc_id) OVER w AS kept,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW w AS (PARTITION BY coalesce(text, ''))

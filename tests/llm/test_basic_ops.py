@@ -271,3 +271,67 @@ def test_packing(spark):
         assert at <= 64
     assert len(sequences) <= sum(w[3] for w in want) / 64 * 1.01 + 2
     assert packing.pack_documents(empty(spark), path("word_bpe_49k.json")).count() == 0
+
+
+def test_rounding_keeps_each_documents_chance(spark):
+    """Many small sources are as many draws: documents of any size are taken as often as their source's rate says."""
+    sizes = (7, 3, 3, 3, 1, 3)
+    rows = [(100 * s + i, "w " * n, f"s{s:05d}") for s in range(1500) for i, n in enumerate(sizes)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[round(r.target / r.source_size, 6), r.doc_id % 100].append(r.taken / r.size)
+    assert len({rate for rate, _ in by}) == 3
+    for (rate, place), taken in by.items():
+        part = rate - int(rate)
+        sigma = (part * (1 - part) / len(taken)) ** 0.5
+        assert abs(np.mean(taken) - rate) <= 3.5 * sigma + 1e-9, (rate, place, np.mean(taken))
+    per = defaultdict(int)
+    for r in got:
+        per[r.source] += r.taken
+    target = {r.source: r.target for r in got}
+    assert all(abs(per[s] - target[s]) < max(sizes) for s in per)
+
+
+def test_a_batch_repeated_under_its_name_keeps_its_documents(spark, monkeypatch):
+    """The driver dies after the append and repeats the batch; another batch then finds the texts known."""
+    docs, held = table(spark), index(spark)
+    real = exact_dedup._with_groups
+    monkeypatch.setattr(exact_dedup, "_with_groups", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        held.ingest(docs, "b")
+    monkeypatch.setattr(exact_dedup, "_with_groups", real)
+    n = spark.table(held.name).count()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text_sha256)
+    again = sorted(held.ingest(docs, "b").collect(), key=key)
+    assert again == sorted(index(spark).ingest(docs).collect(), key=key)
+    assert sum(r.kept for r in again) == n == spark.table(held.name).count()
+    assert held.ingest(docs, "c").filter("kept").count() == 0
+
+
+def test_two_parts_give_what_sql_gives(spark):
+    """The second part meets a filled index; SQL on the same table, repeated rows and null ids included."""
+    import duckdb
+
+    from minutemark.llm.sql import OP7
+
+    docs = table(spark)
+    held = index(spark)
+    got = held.ingest_parts(docs).collect()
+    batches = {r.batch[-1] for r in spark.table(held.name).collect()}
+    assert batches == {"0", "1"}
+    documents = docs.select("doc_id", "text").toArrow()  # noqa: F841  read by name
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = duckdb.sql(OP7).select(*columns).fetchall()
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    assert held.ingest_parts(docs.filter("false")).count() == 0
+
+
+def test_helper_columns_never_replace_the_callers(spark):
+    names = ["_sha", "_key", "_none", "_copy", "_words", "_id", "_source", "_size", "_copies", "_COPY"]
+    rows = [(i, f"{'w ' * (i + 1)}", "s", *[f"{c}{i}" for c in names[:-1]]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names[:-1]))
+    for out in (exact_dedup.drop_copies(docs, index(spark)), mixing.apply_mix(docs)):
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.collect()} <= set(rows) and out.count() == 6
