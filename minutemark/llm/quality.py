@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import cut, text_or_empty
 
 #: Hashed features of words and of word shapes.
 BUCKETS = 256
@@ -103,7 +103,8 @@ class Logistic:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 3.0, steps: int = 10) -> Logistic:
+    def fit(cls, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 3.0, steps: int = 10) -> Logistic:
+        weight = np.ones(len(x)) if weight is None else weight
         mean, spread = x.mean(0), x.std(0)
         scale = np.where(spread > 1e-6, spread, 1.0)
         z = np.column_stack([(x - mean) / scale, np.ones(len(x))]).astype(np.float64)
@@ -111,7 +112,7 @@ class Logistic:
         penalty[-1] = 1e-3
         for _ in range(steps):
             p = _sigmoid(z @ w)
-            step = np.linalg.solve((z.T * (p * (1 - p) + 1e-6)) @ z + np.diag(penalty), z.T @ (y - p) - penalty * w)
+            step = np.linalg.solve((z.T * (weight * p * (1 - p) + 1e-6)) @ z + np.diag(penalty), z.T @ (weight * (y - p)) - penalty * w)
             w += step
             if np.abs(step).max() < 1e-4:
                 break
@@ -123,12 +124,13 @@ class Logistic:
 
 @dataclass
 class CoTrained:
-    """Both views' models, how each is calibrated, and how they are combined."""
+    """Both views' models, how each is calibrated, how they are combined, and how many rows each taught, round by round."""
 
     text: Logistic
     metadata: Logistic
     calibrate: list[Logistic]
     combine: Logistic
+    taught: list[dict[str, int]]
 
     def scores(self, text: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         logits = [
@@ -137,126 +139,274 @@ class CoTrained:
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(self.combine.logit(np.column_stack(logits)))
 
 
-def _confident(
-    model: Logistic, view: np.ndarray, held: np.ndarray, pool: np.ndarray, labels: np.ndarray, precision: float, most: int
-) -> dict[int, np.ndarray]:
-    """The pool's surest rows of each class, at most ``most`` of both together and in the classes' held-out ratio."""
-    sure, mine = model.logit(view[held]), model.logit(view[pool])
+#: The views in turn, and a class with the sign that its scores have.
+VIEWS, KINDS = ("text", "metadata"), ((1, 1), (0, -1))
+
+#: Standard errors by which a view's held-out precision is taken to be lower than it looks.
+DOUBT = 1.5
+
+#: Steps of a score by which rows beyond a threshold are counted, and how many are told apart.
+FINE, BINS = 64, 4096
+
+
+def _trust(scores: np.ndarray, labels: np.ndarray) -> dict[int, tuple[float, float]]:
+    """For each class that held-out scores tell better than by chance: the score beyond which they do best, and how much better.
+
+    Rows are taken from the surest on. The share that is right among the first n
+    has a lower bound (Wilson's, one standard error); the n with the highest
+    bound sets the threshold, and the bound's way from the class's frequency to
+    1 is the weight of what the view teaches: near 1 for a strong view, small for
+    a weak one. A class without any gain isn't taught.
+    """
     found = {}
-    for kind, sign in ((1, 1), (0, -1)):
-        order = np.argsort(-sign * sure)
-        right = np.cumsum(labels[held][order] == kind) / np.arange(1, len(order) + 1)
-        good = np.flatnonzero((right >= precision) & (np.arange(len(order)) >= 9))
-        if not len(good):
-            return {}
-        beyond = np.flatnonzero(sign * mine >= sign * sure[order[good[-1]]])
-        found[kind] = pool[beyond[np.argsort(-sign * mine[beyond])]]
-    share = {1: float(labels[held].mean()), 0: 1 - float(labels[held].mean())}
-    total = min(most, *(len(rows) / share[kind] for kind, rows in found.items()))
-    return {kind: rows[: int(total * share[kind])] for kind, rows in found.items()}
-
-
-def co_train(
-    text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = 3, most_new: int = 1000, precision: float = 0.97
+    for kind, sign in KINDS:
+        base = float((labels == kind).mean())
+        order = np.argsort(-sign * scores, kind="stable")
+        n = np.arange(1, len(order) + 1)
+        right = np.cumsum(labels[order] == kind) / n
+        z = DOUBT * DOUBT / n
+        bound = (right + z / 2 - np.sqrt(z * right * (1 - right) + z * z / 4)) / (1 + z)
+        # Rows of one score are judged together.
+        last = np.r_[np.diff(scores[order]) != 0, True] & (n >= 10)
+        if last.any():
+            best = np.flatnonzero(last)[np.argmax(bound[last])]
+            gain = (bound[best] - base) / max(1e-9, 1 - base)
+            if gain > 0:
+                found[kind] = float(sign * scores[order[best]]), float(gain * gain)
+    return found
+
+
+def _bins(models: list[Logistic], views: tuple[np.ndarray, np.ndarray], cuts: dict) -> Iterator[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
+    """For each (view, class) that teaches: the rows beyond its threshold, and by how many steps."""
+    scores = [m.logit(x) for m, x in zip(models, views)]
+    for (view, kind), (threshold, _) in cuts.items():
+        beyond = (1 if kind else -1) * scores[view] - threshold
+        rows = np.flatnonzero(beyond >= 0)
+        yield (view, kind), rows, np.minimum(beyond[rows] * FINE, BINS - 1).astype(np.int64)
+
+
+def _quotas(counts: dict[tuple[int, int], np.ndarray], share: dict[int, float], most: int) -> dict[tuple[int, int], tuple[int, float]]:
+    """From the rows in each bin: the lowest bin to take for each (view, class), and what part of that bin.
+
+    A view teaches at most ``most`` rows, in the classes' held-out ratio where it teaches both.
+    """
+    out = {}
+    for view in {v for v, _ in counts}:
+        mine = {k: c for (v, k), c in counts.items() if v == view}
+        total = min([float(most), *(c.sum() / share[k] for k, c in mine.items())])
+        for kind, count in mine.items():
+            want = total * share[kind]
+            above = np.cumsum(count[::-1])[::-1]
+            low = max(0, int(np.searchsorted(-above, -want, "right")) - 1)
+            higher = above[low] - count[low]
+            out[view, kind] = low, float(np.clip((want - higher) / max(1, count[low]), 0, 1))
+    return out
+
+
+def _taken(found: Iterator, quotas: dict, chance: np.ndarray) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    for which, rows, step in found:
+        low, part = quotas[which]
+        yield which, rows[(step > low) | ((step == low) & (chance[rows] < part))]
+
+
+class ArrayPool:
+    """Unlabelled rows in memory."""
+
+    def __init__(self, text: np.ndarray, metadata: np.ndarray):
+        self.views = text, metadata
+        self.chance = np.random.default_rng(3).random(len(text))
+
+    def surest(self, models: list[Logistic], cuts: dict, share: dict[int, float], most: int) -> dict[tuple[int, int], list[np.ndarray]]:
+        counts = {w: np.bincount(step, minlength=BINS) for w, _, step in _bins(models, self.views, cuts)}
+        quotas = _quotas(counts, share, most)
+        return {w: [v[rows] for v in self.views] for w, rows in _taken(_bins(models, self.views, cuts), quotas, self.chance)}
+
+
+class TablePool:
+    """Unlabelled rows of a described table, all of them; only counts and the taught rows' features reach the driver."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def surest(self, models: list[Logistic], cuts: dict, share: dict[int, float], most: int) -> dict[tuple[int, int], list[np.ndarray]]:
+        def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {w: np.zeros(BINS, np.int64) for w in cuts}
+            for batch in batches:
+                for which, _, step in _bins(models, _unpacked(batch), cuts):
+                    sums[which] += np.bincount(step, minlength=BINS)
+            for (view, kind), total in sums.items():
+                at = np.flatnonzero(total)
+                columns = [np.full(len(at), view), np.full(len(at), kind), at, total[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["view", "kind", "bin", "n"])
+
+        counts = {w: np.zeros(BINS, np.int64) for w in cuts}
+        binned = self.rows.mapInArrow(count, "view long, kind long, bin long, n long")
+        for r in binned.groupBy("view", "kind", "bin").agg(F.sum("n").alias("n")).collect():  # at most 4 BINS rows
+            counts[r["view"], r["kind"]][r["bin"]] = r["n"]
+        quotas = _quotas(counts, share, most)
+
+        def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                chance = (batch.column("lot").to_numpy().view(np.uint64) >> np.uint64(11)) / 2.0**53
+                for (view, kind), rows in _taken(_bins(models, _unpacked(batch), cuts), quotas, chance):
+                    part = batch.take(pa.array(rows))
+                    same = [pa.array(np.full(len(rows), x), pa.int64()) for x in (view, kind)]
+                    yield pa.RecordBatch.from_arrays([*same, part.column("text_view"), part.column("meta_view")], ["view", "kind", "text_view", "meta_view"])
+
+        taken = self.rows.mapInArrow(take, "view long, kind long, text_view binary, meta_view binary").toArrow()
+        taken = taken.sort_by([("text_view", "ascending"), ("meta_view", "ascending")]).combine_chunks()
+        view, kind = taken["view"].to_numpy(), taken["kind"].to_numpy()
+        features = _unpacked(taken)
+        return {w: [x[(view == w[0]) & (kind == w[1])] for x in features] for w in cuts}
+
+
+def fit_views(
+    text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, pool: ArrayPool | TablePool | None, rounds: int = 3, most_new: int = 1000
 ) -> CoTrained | None:
-    """Fit both views on the labelled rows (label 0 or 1; -1: none), let them label rows for each other, and combine.
+    """Fit both views on labelled rows, let them label rows of the pool for each other, and combine.
 
     A fifth of the labelled rows is held out, for calibration and to tell what a
-    view may teach: in each round a view hands the other at most ``most_new``
-    rows, its surest ones beyond the scores at which it reaches ``precision``
-    for each class on the held-out rows, and as many of each class as keep
-    their ratio. A view that never is so sure of both classes teaches nothing.
-    None if the labelled rows don't hold both classes in both parts.
+    view may teach (``_trust``). In each round each view hands the other at most
+    ``most_new`` rows of the pool, its surest ones of each class, weighted by how
+    far it can be trusted; these are chosen anew each round. None if the labelled
+    rows don't hold both classes in both parts.
     """
-    known = np.flatnonzero(labels >= 0)
-    held, fit = known[::5], np.setdiff1d(known, known[::5])
+    held, fit = np.arange(0, len(labels), 5), np.setdiff1d(np.arange(len(labels)), np.arange(0, len(labels), 5))
     if min(len(set(labels[held].tolist())), len(set(labels[fit].tolist()))) < 2:
         return None
-    pool = np.flatnonzero(labels < 0)
-    views = (text, metadata)
-    given = [dict(zip(fit.tolist(), labels[fit].tolist())) for _ in views]
+    views, y = (text, metadata), labels[held].astype(np.float64)
+    share = {1: float(y.mean()), 0: 1 - float(y.mean())}
+    extra: list[list[tuple[np.ndarray, int, float]]] = [[], []]
     models: list[Logistic] = []
+    taught: list[dict[str, int]] = []
     for turn in range(rounds + 1):
         models = []
-        for x, have in zip(views, given):
-            at = np.fromiter(have, np.int64, len(have))
-            models.append(Logistic.fit(x[at], np.fromiter(have.values(), np.float64, len(have))))
-        if turn == rounds or not len(pool):
+        for x, more in zip(views, extra):
+            rows = np.concatenate([x[fit], *(m[0] for m in more)])
+            target = np.concatenate([labels[fit], *(np.full(len(m[0]), m[1]) for m in more)]).astype(np.float64)
+            weight = np.concatenate([np.ones(len(fit)), *(np.full(len(m[0]), m[2]) for m in more)])
+            models.append(Logistic.fit(rows, target, weight))
+        if turn == rounds or pool is None:
             break
-        new = 0
-        for me, other in ((0, 1), (1, 0)):
-            for kind, rows in _confident(models[me], views[me], held, pool, labels, precision, most_new).items():
-                for i in rows.tolist():
-                    new += i not in given[other]
-                    given[other].setdefault(i, kind)
-        if not new:
+        cuts = {(v, k): t for v in (0, 1) for k, t in _trust(models[v].logit(views[v][held]), labels[held]).items()}
+        if not cuts:
             break
-    y = labels[held].astype(np.float64)
+        extra = [[], []]
+        for (view, kind), features in pool.surest(models, cuts, share, most_new).items():
+            extra[1 - view].append((features[1 - view], kind, cuts[view, kind][1]))
+        taught.append({f"{VIEWS[v]} taught": sum(len(m[0]) for m in extra[1 - v]) for v in (0, 1)})
     raw = [m.logit(x[held])[:, None] for m, x in zip(models, views)]
     calibrate = [Logistic.fit(r, y, ridge=1.0) for r in raw]
     both = np.column_stack([c.logit(r) for c, r in zip(calibrate, raw)])
-    return CoTrained(models[0], models[1], calibrate, Logistic.fit(both, y, ridge=1.0))
+    return CoTrained(models[0], models[1], calibrate, Logistic.fit(both, y, ridge=1.0), taught)
+
+
+def co_train(text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = 3, most_new: int = 1000) -> CoTrained | None:
+    """``fit_views`` on rows in memory; those with label -1 are the pool."""
+    known, other = labels >= 0, labels < 0
+    pool = ArrayPool(text[other], metadata[other]) if other.any() else None
+    return fit_views(text[known], metadata[known], labels[known], pool, rounds, most_new)
 
 
 _COLUMNS = ("doc_id", "text", "source", "lang", "n_chars")
 
 
-def _inputs(docs: DataFrame) -> DataFrame:
-    return docs.select(
+def _columns() -> list:
+    return [
         F.col("doc_id").cast("long"),
         text_or_empty().alias("text"),
         F.col("source").cast("string"),
         F.col("lang").cast("string"),
         F.col("n_chars").cast("long"),
-    )
+    ]
+
 
+#: Features of the text are stored as 16-bit floats, those of metadata as the places of their ones.
+_TEXT, _META = np.float16, np.int16
 
-def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    text = np.stack([text_view(t.as_py()) for t in batch.column("text")])
-    meta = np.stack([metadata_view(*x) for x in zip(*(batch.column(c).to_pylist() for c in _COLUMNS[2:]))])
-    return text, meta
 
+def _described(batch: pa.RecordBatch, text: pa.Array) -> list[pa.Array]:
+    """Both views of a batch's rows as binary columns, with the texts given."""
+    views = [text_view(t.as_py() or "").astype(_TEXT).tobytes() for t in text]
+    meta = [
+        np.flatnonzero(metadata_view(*x)).astype(_META).tobytes() for x in zip(*(batch.column(c).to_pylist() for c in _COLUMNS[2:]))
+    ]
+    return [pa.array(views, pa.binary()), pa.array(meta, pa.binary())]
+
+
+def _unpacked(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    text = np.frombuffer(b"".join(batch["text_view"].to_pylist()), _TEXT).reshape(batch.num_rows, -1 if batch.num_rows else 0)
+    ones = np.frombuffer(b"".join(batch["meta_view"].to_pylist()), _META).reshape(batch.num_rows, -1 if batch.num_rows else 0)
+    meta = np.zeros((batch.num_rows, len(metadata_view(None, None, None))), np.float32)
+    meta[np.arange(batch.num_rows)[:, None], ones] = 1
+    return text.astype(np.float32), meta
+
+
+def describe(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """id, lot (a hash of the row), text_view and meta_view of every row; with ``whole`` also the row, as ``row``."""
 
-def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 8192, most_unlabelled: int = 8192, seed: int = 7) -> CoTrained | None:
-    """Co-train on a bounded sample: at most so many labelled documents and so many without a label.
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                columns = [part.column("doc_id"), *_described(part, part.column("text")), *([part.column("row")] if whole else [])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text_view", "meta_view", *(["row"] if whole else [])])
 
-    The samples are those of least hash of doc_id, whatever the input's order.
-    Their ids are joined to the documents as a broadcast of at most
-    ``most_labelled + most_unlabelled`` rows; only their features reach the
-    driver. Labels with a null id or quality are left out; of several labels for
-    one id the lowest holds.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    inputs = docs.select(*_columns(), *([row] if whole else []))
+    kind = "".join(f", row {docs.select(row).schema['row'].dataType.simpleString()}" if whole else "")
+    described = inputs.mapInArrow(run, "id long, text_view binary, meta_view binary" + kind)
+    return described.withColumn("lot", F.xxhash64("id", "text_view", "meta_view"))
+
+
+def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 8192, most_new: int = 1000, rounds: int = 3, seed: int = 7) -> CoTrained | None:
+    """Co-train on at most ``most_labelled`` labelled documents, with all other documents as the pool."""
+    return train_described(cut(describe(docs), "views"), labels, most_labelled, most_new, rounds, seed)
+
+
+def train_described(
+    rows: DataFrame, labels: DataFrame, most_labelled: int = 8192, most_new: int = 1000, rounds: int = 3, seed: int = 7
+) -> CoTrained | None:
+    """Co-train on a described table (``describe``), written before: it is read twice each round.
+
+    The labelled sample is bounded: the ids of least hash, whatever the input's
+    order, one row for each. Their ids are joined as a broadcast of at most
+    ``most_labelled`` rows, and their features reach the driver. All other
+    documents are the pool: each round scores every one; what comes back is
+    counts by score and the features of the at most 2 * ``most_new`` surest.
+    Labels with a null id or quality are left out; of several labels for one id
+    the lowest holds.
     """
     known = (
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
         .agg(F.min(F.when(F.col("quality") > 0, 1).otherwise(0)).alias("_label"))
     )
-    ids = docs.select(F.col("doc_id").cast("long").alias("_id")).filter("_id IS NOT NULL")
-    by_hash = F.xxhash64("_id", F.lit(seed))
-    labelled = known.join(ids.distinct(), "_id", "left_semi").orderBy(by_hash, "_id").limit(most_labelled)
-    others = (
-        ids.distinct().join(known, "_id", "left_anti").orderBy(by_hash, "_id").limit(most_unlabelled).withColumn("_label", F.lit(-1))
+    ids = rows.select(F.col("id").alias("_id")).filter("_id IS NOT NULL").distinct()
+    chosen = cut(known.join(ids, "_id", "left_semi").orderBy(F.xxhash64("_id", F.lit(seed)), "_id").limit(most_labelled), "labelled")
+    sample = rows.join(F.broadcast(chosen), rows["id"] == chosen["_id"]).groupBy("_id").agg(
+        F.min("_label").alias("label"), F.min(F.struct("text_view", "meta_view")).alias("v")
     )
-    chosen = F.broadcast(labelled.unionByName(others))
+    found = sample.select("_id", "label", "v.*").toArrow().sort_by("_id").combine_chunks()
+    if not found.num_rows:
+        return None
+    pool = rows.join(F.broadcast(chosen.select("_id")), rows["id"] == chosen["_id"], "left_anti")
+    text, meta = _unpacked(found)
+    # An even order of ids would put one kind of document in the held-out part.
+    order = np.random.default_rng(seed).permutation(found.num_rows)
+    return fit_views(text[order], meta[order], found["label"].to_numpy()[order], TablePool(pool), rounds, most_new)
+
 
+def _scored(rows: DataFrame, model: CoTrained | None, threshold: float) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "text_score", "metadata_score", "score", "keep"]
         for batch in batches:
-            if batch.num_rows:
-                text, meta = _features(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_label"), batch.column("doc_id"), pa.array([x.tobytes() for x in text]), pa.array([x.tobytes() for x in meta])],
-                    ["label", "doc_id", "text", "meta"],
-                )
-
-    inputs = _inputs(docs)
-    sample = inputs.join(chosen, inputs["doc_id"] == chosen["_id"]).drop("_id")
-    rows = sample.mapInArrow(run, "label int, doc_id long, text binary, meta binary").toArrow().sort_by("doc_id")
-    if not rows.num_rows:
-        return None
-    text, meta = (np.frombuffer(b"".join(rows[c].to_pylist()), np.float32).reshape(rows.num_rows, -1) for c in ("text", "meta"))
-    # An even order of ids would put one kind of document in the held-out part.
-    order = np.random.default_rng(seed).permutation(rows.num_rows)
-    return co_train(text[order], meta[order], rows["label"].to_numpy()[order])
+            found = model.scores(*_unpacked(batch)) if model and batch.num_rows else (np.ones(batch.num_rows),) * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), *[pa.array(x.astype(np.float64)) for x in found], pa.array(found[2] >= threshold)], names
+            )
+
+    return rows.mapInArrow(run, "doc_id long, text_score double, metadata_score double, score double, keep boolean")
 
 
 def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> DataFrame:
@@ -264,40 +414,35 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> D
 
     Null texts are empty, null metadata is a value like others, repeated rows
     are scored each. Without a model (no labels of both classes) nothing is
-    known against a document: all scores are 1.
+    known against a document: all scores are 1. No rows in, no rows out.
     """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_score", "metadata_score", "score", "keep"]
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                found = model.scores(*_features(part)) if model else (np.ones(part.num_rows),) * 3
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *[pa.array(s.astype(np.float64)) for s in found], pa.array(found[2] >= threshold)], names
-                )
-
-    return _inputs(docs).mapInArrow(run, "doc_id long, text_score double, metadata_score double, score double, keep boolean")
+    return _scored(describe(docs), model, threshold)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    return score(docs, train(docs, labels), threshold)
+    """``score`` of every document by a model trained on ``labels``; the features are made once.
+
+    Nulls, empty tables and repeated rows are handled as in ``score`` and
+    ``train_described``; equal rows have equal scores. Other columns are not read.
+    """
+    rows = cut(describe(docs), "views")
+    return _scored(rows, train_described(rows, labels), threshold)
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with all their columns, in one pass over them."""
-    model = train(docs, labels)
+    """The rows of ``docs`` that the classifier keeps, with all their columns, of any names; the features are made once."""
+    rows = cut(describe(docs, whole=True), "views")
+    model = train_described(rows.drop("row"), labels)
     if model is None:
         return docs
 
-    names, schema = docs.columns, docs.schema
+    schema = rows.schema["row"].dataType
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                text = [t.as_py() or "" for t in part.column("text")]
-                use = part.set_column(names.index("text"), "text", pa.array(text, pa.string()))
-                yield part.filter(pa.array(model.scores(*_features(use))[2] >= threshold))
+            if batch.num_rows:
+                kept = batch.filter(pa.array(model.scores(*_unpacked(batch))[2] >= threshold))
+                yield pa.RecordBatch.from_arrays([kept.column("row")], ["row"])
 
-    return docs.mapInArrow(run, schema)
+    kept = rows.select("text_view", "meta_view", "row").mapInArrow(run, f"row {schema.simpleString()}")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

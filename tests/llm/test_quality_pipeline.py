@@ -36,6 +36,37 @@ def test_a_weak_view_learns_from_a_strong_one():
     assert np.mean((taught.scores(strong, weak)[2] > 0.5)[300:] == y[300:]) > 0.95
 
 
+def test_both_views_teach_on_the_given_tables(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels)
+    assert len(model.taught) == 3
+    for turn in model.taught:
+        assert turn["text taught"] > 0 and turn["metadata taught"] > 0
+
+
+def test_table_and_array_pools_teach_alike(spark):
+    """Counts by score and one lot for a row choose the surest rows, as many as asked for, in the classes' ratio."""
+    draw = np.random.default_rng(2)
+    text, meta = draw.normal(size=(3000, 5)).astype(np.float16), draw.integers(0, 192, (3000, 4))
+    ones = np.zeros((3000, 192), np.float32)
+    ones[np.arange(3000)[:, None], meta] = 1
+    y = (text[:, 0] > 0).astype(float)
+    models = [quality.Logistic.fit(text.astype(np.float32), y), quality.Logistic.fit(ones, y)]
+    cuts = {(0, 1): (0.5, 1.0), (0, 0): (0.2, 1.0), (1, 1): (0.0, 0.1)}
+    share = {1: 0.7, 0: 0.3}
+    rows = [(i, t.tobytes(), np.sort(m).astype(np.int16).tobytes(), int(h)) for i, (t, m, h) in enumerate(zip(text, meta, draw.integers(-(2**62), 2**62, 3000)))]
+    table = spark.createDataFrame(rows, "id long, text_view binary, meta_view binary, lot long").repartition(5)
+    for most in (100, 10_000):
+        a = quality.ArrayPool(text.astype(np.float32), ones).surest(models, cuts, share, most)
+        b = quality.TablePool(table).surest(models, cuts, share, most)
+        for which, (view, kind) in ((w, w) for w in cuts):
+            scores = [(1 if kind else -1) * models[view].logit(x[which][view]) for x in (a, b)]
+            assert all(len(x) == 0 or x.min() >= cuts[which][0] for x in scores)
+            assert abs(len(scores[0]) - len(scores[1])) <= 25
+        if most == 100:
+            assert abs(len(b[0, 1][0]) - 70) <= 15 and abs(len(b[0, 0][0]) - 30) <= 12
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, None, None, None, 5), (2, "", "s", "en", -3, 5), (None, "x " * 300_000, "s", "en", 7, 5), (2, "", "s", "en", -3, 5)],
