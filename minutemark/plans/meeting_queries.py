@@ -141,16 +141,19 @@ def meetings_ready(spark: SparkSession, d: str) -> DataFrame:
 
 
 def meetings_missing_partner(spark: SparkSession, d: str) -> DataFrame:
-    asr = r.segments(spark, d).filter("meeting % 7 <> 0").select("meeting").distinct()
-    track = r.changes(spark, d).filter("meeting % 5 <> 0").select("meeting").distinct()
+    """Two tables whose ids differ by themselves: labels stand for transcripts, conversations for tracks."""
+    asr = r.table(spark, d, "labels").select(F.col("doc_id").alias("meeting")).distinct()
+    track = r.table(spark, d, "conversations").select(F.col("conv_id").alias("meeting")).distinct()
     return asr.join(track, "meeting", "left_anti").withColumn("missing", F.lit("speaker track")).unionByName(
         track.join(asr, "meeting", "left_anti").withColumn("missing", F.lit("transcript"))
     )
 
 
 def incremental_skip(spark: SparkSession, d: str) -> DataFrame:
-    done = r.segments(spark, d).filter("meeting % 3 = 0").select("meeting").distinct()
-    return r.segments(spark, d).join(done, "meeting", "left_anti").groupBy("meeting").agg(F.count(F.lit(1)).alias("n"))
+    """Conversations whose id has a label are finished; the others are counted by turns."""
+    todo = r.table(spark, d, "conversations").withColumnRenamed("conv_id", "meeting")
+    done = r.table(spark, d, "labels").select(F.col("doc_id").alias("meeting")).distinct()
+    return todo.join(done, "meeting", "left_anti").groupBy("meeting").agg(F.count(F.lit(1)).alias("n"))
 
 
 def prefer_primary_source(spark: SparkSession, d: str) -> DataFrame:
@@ -225,9 +228,9 @@ ORACLES = {
     "render_vtt": r.ATTRIBUTION_SQL + f"""SELECT meeting, 'WEBVTT' || chr(10) || chr(10) || string_agg({_stamp('s_us', '.')} || ' --> ' || {_stamp('e_us', '.')} || chr(10)
         || '<v ' || {_SAID} || '>' || trim(text) || chr(10), chr(10) ORDER BY turn) AS value FROM labelled GROUP BY meeting""",
     "meetings_ready": r.SQL + "SELECT DISTINCT meeting FROM segments INTERSECT SELECT DISTINCT meeting FROM changes",
-    "meetings_missing_partner": r.SQL + """, a AS (SELECT DISTINCT meeting FROM segments WHERE meeting % 7 <> 0), t AS (SELECT DISTINCT meeting FROM changes WHERE meeting % 5 <> 0)
+    "meetings_missing_partner": """WITH a AS (SELECT DISTINCT doc_id AS meeting FROM labels), t AS (SELECT DISTINCT conv_id AS meeting FROM conversations)
         SELECT meeting, 'speaker track' AS missing FROM a WHERE meeting NOT IN (FROM t) UNION ALL SELECT meeting, 'transcript' AS missing FROM t WHERE meeting NOT IN (FROM a)""",
-    "incremental_skip": r.SQL + "SELECT meeting, count(*) AS n FROM segments WHERE meeting % 3 <> 0 GROUP BY meeting",
+    "incremental_skip": "SELECT conv_id AS meeting, count(*) AS n FROM conversations WHERE conv_id NOT IN (SELECT doc_id FROM labels) GROUP BY conv_id",
     "prefer_primary_source": """SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS meeting, page_id, url LIKE 'http:%' AS legacy FROM pages
         QUALIFY row_number() OVER (PARTITION BY meeting ORDER BY legacy, page_id) = 1""",
     "shard_assignment": "SELECT c_name FROM customer QUALIFY (row_number() OVER (ORDER BY c_name) - 1) % 5 = 2",

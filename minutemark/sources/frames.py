@@ -34,19 +34,29 @@ class FramesReader(DataSourceReader):
         self.suffixes = tuple(options.get("suffixes", ".npy").split(","))
         self.decoder = options.get("decoder", "minutemark.sources.frames:npy_frames")
         self.rate = float(options.get("sampling_rate", 1.0))
+        self.done, self.done_suffix = options.get("done"), options.get("done_suffix", "")
         self.start, self.most = float(options.get("start_seconds", 0)), float(options.get("max_seconds", "inf"))
 
     def partitions(self) -> list[Video]:
         return [Video(os.path.join(self.folder, n)) for n in sorted(os.listdir(self.folder)) if n.lower().endswith(self.suffixes)] or [Video("")]
 
+    def _finished(self, meeting: str) -> bool:
+        """Whether the folder ``done`` has this meeting's output: then the video isn't opened."""
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(self.done)
+        return store.get_file_info(f"{folder}/{meeting}{self.done_suffix}").type != fs.FileType.NotFound
+
     def read(self, partition: Video) -> Iterator[tuple]:
         if not partition.path:
             return
+        meeting = os.path.basename(partition.path).rsplit(".", 1)[0]
+        if self.done and self._finished(meeting):
+            return
         module, name = self.decoder.split(":")
         frames = getattr(importlib.import_module(module), name)(partition.path)
         fps = next(frames) or 25.0
         step, begin = max(1, round(fps / self.rate)), int(self.start * fps)
-        meeting = os.path.basename(partition.path).rsplit(".", 1)[0]
         for n, frame in enumerate(frames):
             if n >= begin + self.most * fps:
                 break

@@ -145,5 +145,14 @@ def export(rows: DataFrame, path: str, suffix: str, overwrite: bool = False) ->
 
 
 def finished(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    """meeting of the outputs that are there already, to be anti-joined with what is to be done."""
-    return discover(spark, path, [suffix]).select("meeting").distinct()
+    """meeting of the outputs ``path``/<meeting><suffix> that are there already, to be anti-joined with what is to be done.
+
+    A folder that isn't there yet has none.
+    """
+    from pyarrow import fs
+
+    if "://" in path:
+        store, folder = fs.FileSystem.from_uri(path)
+        store.create_dir(folder, recursive=True)
+    name = F.col("name").substr(F.lit(1), F.length("name") - len(suffix))
+    return discover(spark, path, [suffix]).select(name.alias("meeting")).distinct()

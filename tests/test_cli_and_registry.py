@@ -17,6 +17,8 @@ READER = Reader()
 
 
 def words(path):
+    with open("/" + path.removeprefix("file:").lstrip("/") + ".heard", "a") as tally:
+        tally.write("x")
     return [(0, 3, "good evening"), (3, 5, "thank you")]
 
 
@@ -43,6 +45,15 @@ def test_steps(spark, tmp_path, capsys):
     (turn,) = json.loads((tmp_path / "out" / "m1.json").read_text())
     assert (turn["speaker_name"], turn["text"], turn["end"]) == ("Susan Gross", "good evening thank you", 5.0)
     assert (tmp_path / "out" / "m1.srt").exists()
+    # A second run opens no video and hears no recording again, and merges only what lacks a form.
+    (tmp_path / "m1.npy").write_bytes(b"broken")
+    assert cli.main(["read-frames", str(tmp_path), "--out", work, "--reader", f"{here}:READER"]) == 0
+    heard = len((tmp_path / "m1.wav.heard").read_text())
+    assert cli.main(["transcribe", str(tmp_path), "--out", work, "--transcriber", f"{here}:words"]) == 0
+    assert len((tmp_path / "m1.wav.heard").read_text()) == heard
+    assert cli.main(["merge", "--asr", work, "--speakers", work, "--out", out, "--formats", "json,srt"]) == 0
+    assert cli.main(["merge", "--asr", work, "--speakers", work, "--out", out, "--formats", "json,vtt"]) == 0
+    assert (tmp_path / "out" / "m1.vtt").exists()
 
 
 def test_registry_is_consistent(spark):
