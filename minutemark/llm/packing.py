@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from .common import cut, ordered_prefix, text_or_empty
 
 #: Words kept with their ids in each Python worker; beyond so many the older half goes.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 
 #: Bytes of text that are split and counted at once; a longer text is taken alone.
-SLICE = 16 << 20
+SLICE = 6 << 20
 
 #: Where the tokenizer's normal forms and classes are those of Python and Arrow: ranges of code points, both ends in.
 _RANGES = ((0x09, 0x0D), (0x20, 0x7E), (0xA1, 0xAC), (0xAE, 0x12F), (0x131, 0x24F), (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC))

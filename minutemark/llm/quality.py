@@ -440,8 +440,9 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                kept = batch.filter(pa.array(model.scores(*_unpacked(batch))[2] >= threshold))
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                kept = part.filter(pa.array(model.scores(*_unpacked(part))[2] >= threshold))
                 yield pa.RecordBatch.from_arrays([kept.column("row")], ["row"])
 
     kept = rows.select("text_view", "meta_view", "row").mapInArrow(run, f"row {schema.simpleString()}")
