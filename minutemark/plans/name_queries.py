@@ -175,18 +175,20 @@ def _pre(s: str, f: str, side: str) -> str:
     return f"(length({s}) < length({f}) AND ({part} = {s} OR (length({s}) >= 10 AND {_sim(s, part)} >= 0.9)))"
 
 
-_RULES = _POOL + f""", sides AS (
+def _rules(pairs: str, n: str = "") -> str:
+    """Common table expressions that judge a table of pairs; ``n`` ends their names, so that one query can hold two."""
+    return f""", sides{n} AS (
   SELECT c.scope, c.a, c.b, x AS xa, y AS xb,
     CASE WHEN length(c.a) < length(c.b) OR (length(c.a) = length(c.b) AND c.a < c.b) THEN x ELSE y END AS s,
     CASE WHEN length(c.a) < length(c.b) OR (length(c.a) = length(c.b) AND c.a < c.b) THEN y ELSE x END AS f
-  FROM cand c JOIN i x ON c.scope = x.scope AND c.a = x.key JOIN i y ON c.scope = y.scope AND c.b = y.key),
-facts AS (
+  FROM {pairs} c JOIN i x ON c.scope = x.scope AND c.a = x.key JOIN i y ON c.scope = y.scope AND c.b = y.key),
+facts{n} AS (
   SELECT *, {_sim('xa.skel', 'xb.skel')} AS alike, length(s.key) / length(f.key) AS ratio, length(f.key) - length(s.key) AS gone,
     left(a, 3) = left(b, 3) AS same_head, length(s.key) >= 6 AND length(s.key) < length(f.key) AS shorter, length(f.tokens[1]) AS first,
     levenshtein(xa.skel, xb.skel) <= CASE WHEN greatest(length(xa.skel), length(xb.skel)) < 10 THEN -1
       WHEN greatest(length(xa.skel), length(xb.skel)) < 18 THEN 1 ELSE 2 END AND {_sim('xa.skel', 'xb.skel')} >= 0.88 AS variant
-  FROM sides),
-judged AS (
+  FROM sides{n}),
+judged{n} AS (
   SELECT *, shorter AND same_head AND {_pre('s.skel', 'f.skel', 'left')} AND (s.clipped OR NOT list_contains(f.cuts, length(s.key))
       OR (len(list_filter(f.cuts, lambda c: c >= length(s.key))) = 1 AND len(s.tokens) >= 2 AND ratio >= 0.6)) AS pre,
     shorter AND ratio >= 0.6 AND {_pre('s.skel', 'f.skel', 'right')} AND first > gone AS suf,
@@ -194,8 +196,8 @@ judged AS (
       AND instr(f.skel, s.skel) - 1 + length(s.skel) < length(f.skel) AS inn,
     xb.surname <> '' AND xb.given <> '' AND NOT xb.clipped AND length(a) >= 5 AS okb,
     xa.surname <> '' AND xa.given <> '' AND NOT xa.clipped AND length(b) >= 5 AS oka
-  FROM facts),
-ruled AS (
+  FROM facts{n}),
+ruled{n} AS (
   SELECT scope, a, b, CASE
     WHEN xa.skel = xb.skel THEN {{'r': 'ocr_variant', 'v': 1.0::DOUBLE, 'p': a, 'f': b}}
     WHEN variant AND same_head THEN {{'r': 'ocr_variant', 'v': alike, 'p': a, 'f': b}}
@@ -211,10 +213,36 @@ ruled AS (
       THEN {{'r': 'initial', 'v': 1.0, 'p': b, 'f': a}}
     WHEN oka AND len(xb.tokens) = 1 AND xb.skel = xa.ssur THEN {{'r': 'surname', 'v': 1.0, 'p': b, 'f': a}}
     WHEN oka AND len(xb.tokens) = 1 AND xb.skel = xa.sgiv THEN {{'r': 'given_name', 'v': 1.0, 'p': b, 'f': a}} END AS x
-  FROM judged)
+  FROM judged{n})
 """
 
 
+_RULES = _POOL + _rules("cand")
+
+#: The spelling links of whole scopes: a partial form, all that it could stand for, its strongest option, and whether those agree.
+_LINKS = (
+    _RULES
+    + """, spelt AS (SELECT scope, x.r AS rule, x.v AS score, x.p AS partial, x.f AS "full",
+    CASE x.r WHEN 'ocr_variant' THEN 1 WHEN 'left_clip' THEN 3 ELSE 2 END AS priority
+  FROM ruled WHERE x.r IN ('ocr_variant', 'truncation', 'tail_noise', 'left_clip')),
+options AS (SELECT o.*, p.skel AS ps FROM spelt o JOIN i p ON o.scope = p.scope AND o.partial = p.key WHERE rule <> 'ocr_variant'),
+fulls AS (SELECT scope, partial, "full" FROM options
+  UNION SELECT o.scope, o.partial, k.key FROM options o JOIN i k ON o.scope = k.scope AND k.key <> o.partial AND (
+    rule = 'truncation' AND length(k.skel) > length(ps) AND starts_with(k.skel, ps)
+    OR rule = 'left_clip' AND length(k.skel) > length(ps) AND ends_with(k.skel, ps)
+    OR rule = 'tail_noise' AND length(k.skel) BETWEEN 6 AND length(ps) - 1 AND starts_with(ps, k.skel))),
+two AS (SELECT x.scope, x.partial, x."full" AS a, y."full" AS b FROM fulls x JOIN fulls y ON x.scope = y.scope AND x.partial = y.partial AND x."full" < y."full"),
+asked AS (SELECT DISTINCT scope, a, b FROM two)
+"""
+    + _rules("asked", "2")
+    + """, apart AS (SELECT DISTINCT two.scope, two.partial FROM two JOIN ruled2 r ON two.scope = r.scope AND two.a = r.a AND two.b = r.b
+  WHERE x IS NULL OR x.r NOT IN ('ocr_variant', 'truncation', 'tail_noise', 'left_clip')),
+strongest AS (SELECT o.* FROM options o JOIN i k ON o.scope = k.scope AND o."full" = k.key
+  QUALIFY row_number() OVER (PARTITION BY o.scope, o.partial ORDER BY priority, score DESC, k.us DESC, o."full") = 1)
+"""
+)
+
+
 def _in(values: list[str]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -237,6 +265,13 @@ ORACLES = {
     "normalized_similarity": _POOL + f"SELECT scope, a, b, {_sim('a', 'b')} AS similarity, levenshtein(a, b) <= 2 AS within_two FROM cand",
     "prefix_suffix_match": _POOL + f"SELECT scope, a, b, {_pre('a', 'b', 'left')} AS prefix, {_pre('a', 'b', 'right')} AS suffix FROM cand",
     "pair_rule": _RULES + "SELECT scope, a, b, x.r AS rule, x.v AS score, x.p AS partial, x.f AS \"full\" FROM ruled WHERE x IS NOT NULL",
+    "best_links": _LINKS
+    + """SELECT scope, priority, score, partial, "full", rule FROM spelt WHERE rule = 'ocr_variant'
+        UNION ALL SELECT scope, priority, score, partial, "full", rule FROM strongest ANTI JOIN apart USING (scope, partial)""",
+    "refused_links": _LINKS
+    + """SELECT s.scope, s.partial, s.rule, s.score, array_to_string(list_sort(list(f."full"))[1:5], ',') AS fulls, count(*) AS n
+        FROM strongest s SEMI JOIN apart USING (scope, partial) JOIN fulls f ON s.scope = f.scope AND s.partial = f.partial
+        GROUP BY s.scope, s.partial, s.rule, s.score""",
     "display_names": _POOL + """, top AS (SELECT scope, key, name FROM (SELECT scope, key, name, sum(us) AS us FROM sightings GROUP BY ALL)
         QUALIFY row_number() OVER (PARTITION BY scope, key ORDER BY us DESC, name) = 1)
         SELECT scope, key AS canonical, CASE WHEN key || scope IN (SELECT key || scope FROM sightings WHERE title IS NOT NULL) THEN 'Judge ' ELSE '' END || name AS display FROM top""",
