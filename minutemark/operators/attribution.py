@@ -14,6 +14,8 @@ from . import intervals
 
 #: The highlight moves so long after a voice begins.
 LAG_US = 600_000
+#: How long the stretches of a meeting are within which overlaps are looked for: a long meeting is never compared whole.
+BUCKET_US = 60_000_000
 
 NO_READ = "No Speaker"
 
@@ -49,7 +51,7 @@ def attribute_segments(
     pure: float = 0.8,
     screen: float = 0.7,
     minor: float = 0.1,
-    bucket_us: int | None = None,
+    bucket_us: int | None = BUCKET_US,
 ) -> DataFrame:
     """Segments with speaker, source ('cluster' or 'screen') and screen_share.
 
@@ -140,7 +142,13 @@ def most_seen_label(reads: DataFrame) -> DataFrame:
 
 
 def label_turns(
-    turns: DataFrame, raw_changes: DataFrame, raw_to_speaker: DataFrame, displays: DataFrame, durations: DataFrame, lag_us: int = LAG_US
+    turns: DataFrame,
+    raw_changes: DataFrame,
+    raw_to_speaker: DataFrame,
+    displays: DataFrame,
+    durations: DataFrame,
+    lag_us: int = LAG_US,
+    bucket_us: int | None = BUCKET_US,
 ) -> DataFrame:
     """Turns with speaker_name and ocr_label.
 
@@ -151,7 +159,7 @@ def label_turns(
     """
     reads = _reads(raw_changes, raw_to_speaker, durations, lag_us)
     spoken = turns.select("meeting", "turn", "s_us", "e_us", F.col("speaker").alias("resolved"))
-    during = intervals.overlap_join(spoken, reads, ["meeting", "resolved"]).groupBy("meeting", "turn", "label").agg(F.sum("us").alias("us"))
+    during = intervals.overlap_join(spoken, reads, ["meeting", "resolved"], bucket_us).groupBy("meeting", "turn", "label").agg(F.sum("us").alias("us"))
     best = intervals.top_by(during, ["meeting", "turn"], "us", "label").select("meeting", "turn", F.col("label").alias("_now"))
     usual = most_seen_label(reads).select("meeting", F.col("resolved").alias("speaker"), F.col("label").alias("_usual"))
     rows = turns.join(best, ["meeting", "turn"], "left").join(usual, ["meeting", "speaker"], "left")

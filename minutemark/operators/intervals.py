@@ -77,9 +77,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], bucket_us:
     r = right.withColumnsRenamed({"s_us": "_s", "e_us": "_e"})
     on = list(keys)
     if bucket_us:
-        ends = left.groupBy(*keys).agg(F.max("e_us").alias("_max"))
-        begins = left.groupBy(*keys).agg(F.min("s_us").alias("_min"))
-        r = r.join(ends, keys).join(begins, keys).filter("_s < _max AND _e > _min")
+        reach = left.groupBy(*keys).agg(F.min("s_us").alias("_min"), F.max("e_us").alias("_max"))
+        r = r.join(reach, keys).filter("_s < _max AND _e > _min")
         r = r.withColumns({"_cs": F.greatest("_s", "_min"), "_ce": F.least("_e", "_max")})
         step = lambda s, e: F.explode(F.expr(f"sequence(floor({s} / {bucket_us}), floor(({e} - 1) / {bucket_us}))"))
         r = r.withColumn("_bucket", step("_cs", "_ce")).drop("_max", "_min", "_ce")

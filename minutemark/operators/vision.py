@@ -206,7 +206,10 @@ def _image(row: dict) -> np.ndarray:
 
 
 def read_frames(frames: DataFrame, reader: Reader) -> DataFrame:
-    """meeting, ord, t_us, name, confidence, detection, box: a frame that fails is a row with detection 'error'."""
+    """meeting, ord, t_us, name, confidence, detection, box: a frame that fails is a row with detection 'error'.
+
+    A row without pixels, by which a source tells a video that it could not read to the end, has detection 'unreadable'.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box_type = pa.struct([(c, pa.int32()) for c in ("x", "y", "w", "h")])
@@ -215,6 +218,9 @@ def read_frames(frames: DataFrame, reader: Reader) -> DataFrame:
             rows = []
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+                if row["pixels"] is None:
+                    rows.append((row["meeting"], row["frame_ord"], row["t_us"], NO_SPEAKER, 0.0, "unreadable", None))
+                    continue
                 try:
                     name, confidence, detection, box = read_name(_image(row), reader)
                     box = dict(zip("xywh", map(int, box)))

@@ -28,8 +28,8 @@ SPEAKERS = (
 )
 
 
-def discover(spark: SparkSession, path: str, suffixes: list[str]) -> DataFrame:
-    """path, name, meeting of the files in a folder (not below it) whose names end in one of ``suffixes``, whatever their case."""
+def discover(spark: SparkSession, path: str | list[str], suffixes: list[str]) -> DataFrame:
+    """path, name, meeting of the files given, or in folders given (not below them), whose names end in one of ``suffixes``, whatever their case."""
     files = spark.read.format("binaryFile").load(path).select("path")
     named = files.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
     wanted = F.lit(False)

@@ -60,3 +60,24 @@ def test_registry_is_consistent(spark):
     queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(oracles) <= set(queries) and len(queries) > 40
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_a_bad_video_is_counted_and_tried_again(spark, tmp_path, capsys):
+    from tests.test_vision_speech_stream import frame
+
+    one, two, work = tmp_path / "one", tmp_path / "two", str(tmp_path / "work")
+    one.mkdir(), two.mkdir()
+    np.save(one / "good.npy", np.stack([frame()] * 3))
+    np.save(two / "more.npy", np.stack([frame()] * 3))
+    (two / "bad.npy").write_bytes(b"broken")
+    step = ["read-frames", str(one), str(two), "--out", work, "--reader", "tests.test_cli_and_registry:READER"]
+    assert cli.main(step) == 1
+    assert sorted(p.name for p in (tmp_path / "work").iterdir()) == ["good.ocr.json", "more.ocr.json"]
+    assert "1 video(s) could not be read" in capsys.readouterr().out
+    np.save(two / "bad.npy", np.stack([frame()] * 3))
+    assert cli.main(step) == 0 and (tmp_path / "work" / "bad.ocr.json").exists()
+
+
+def test_given_names_from_a_file(spark, tmp_path):
+    (tmp_path / "names.txt").write_text("Zoë\n\nAda\nada\n")
+    assert cli._given_names(spark, str(tmp_path / "names.txt")) == ["ada", "zoe"]

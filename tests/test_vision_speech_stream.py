@@ -80,6 +80,19 @@ def test_frames_source(spark, tmp_path):
     assert frames.read_frames(spark, str(tmp_path), start_seconds="1", max_seconds="2").count() == 2
 
 
+def test_frames_of_several_inputs_in_shards(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / name).mkdir()
+        np.save(tmp_path / name / f"{name}.npy", np.zeros((1, 8, 8, 3), np.uint8))
+    (tmp_path / "c" / "torn.npy").write_bytes(b"?")
+    inputs = [str(tmp_path / "a"), f"file://{tmp_path}/b", str(tmp_path / "c" / "c.npy"), str(tmp_path / "c")]
+    rows = frames.read_frames(spark, inputs).collect()
+    assert sorted(r.meeting for r in rows) == ["a", "b", "c", "torn"]
+    assert [r.meeting for r in rows if r.error] == ["torn"] and all((r.pixels is None) == bool(r.error) for r in rows)
+    parts = [{r.meeting for r in frames.read_frames(spark, inputs, shard=f"{i}/2").collect()} for i in range(2)]
+    assert parts[0] | parts[1] == {"a", "b", "c", "torn"} and not parts[0] & parts[1]
+
+
 def test_models(spark):
     def transcriber(path):
         if path == "bad":
