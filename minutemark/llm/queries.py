@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, media, mixing, packing, passages, quality, sharding, simhash, suffix_dedup
+from . import chat, exact_dedup, media, merkle, mixing, packing, passages, quality, sharding, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), path("word_bpe_49k.json"), cap=2048)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_tampered(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_media_archives": op1_media_archives,
     "op2_simhash": op2_simhash,
@@ -75,4 +79,5 @@ QUERIES = {
     "op8_byte_shards": op8_byte_shards,
     "op9_shared_passages": op9_shared_passages,
     "op10_pack_sequences": op10_pack_sequences,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

