@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, media, merkle, mixing, packing, passages, ppm, quality, sharding, simhash, suffix_dedup
+from . import chat, exact_dedup, media, merkle, mixing, negatives, packing, passages, ppm, quality, sharding, simhash, suffix_dedup
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), path("word_bpe_49k.json"), cap=2048)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_documents(spark, sf_dir))
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_byte_shards": op8_byte_shards,
     "op9_shared_passages": op9_shared_passages,
     "op10_pack_sequences": op10_pack_sequences,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_ppm_scores": op12_ppm_scores,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -36,6 +36,27 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
 FROM placed
 """
 
+# Rows of one vec_id count once; every pair of an anchor and a row is looked at.
+OP11 = """
+WITH sound AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+kept AS (SELECT vec_id, label, v FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY label, v) AS r FROM sound) WHERE r = 1),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS r FROM pairs WHERE same) WHERE r <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""
+
 # Levels of all trees, each node's siblings, and every leaf's way up; only the parity of the CRC matters.
 OP13 = """
 WITH RECURSIVE tab AS (
@@ -89,4 +110,4 @@ FROM ways w JOIN subroots s ON s.tree = w.own, (SELECT node FROM tops WHERE n =
 WHERE w.tree = '/' AND w.n = 1
 """
 
-ORACLES = {"op7_exact_dedup": OP7, "op8_byte_shards": OP8, "op13_merkle_manifest": OP13}
+ORACLES = {"op7_exact_dedup": OP7, "op8_byte_shards": OP8, "op11_hard_negatives": OP11, "op13_merkle_manifest": OP13}
