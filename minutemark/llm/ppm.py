@@ -34,10 +34,10 @@ SYMBOLS = 257
 ROOT = 3
 
 #: Bytes and documents that are sorted at once, and bytes of a batch, which asks the model once.
-CHUNK, CHUNK_DOCS, BATCH = 1 << 21, 1023, 1 << 25
+CHUNK, CHUNK_DOCS, BATCH = 1 << 20, 1023, 1 << 25
 
-#: Strings that wait for being added up.
-PENDING = 1 << 22
+#: Strings and words that wait for being added up; as many as there are sums, if those are more.
+PENDING = 1 << 20
 
 #: The end of a text among the words; no word has a line end.
 END_WORD = b"\n"
@@ -47,7 +47,7 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _CUT = re.compile(rb"[\x20\x09-\x0D]")
 
-_ASKED = "grams array<long>, gram_n array<long>, words array<binary>, word_n array<long>"
+_ASKED = "grams binary, gram_n binary, words array<binary>, word_n array<long>"
 
 
 def _field(keys: np.ndarray, order: int) -> np.ndarray:
@@ -102,35 +102,50 @@ def _words(raws: list[bytes], last: list[bool]) -> tuple[pa.Array, np.ndarray, n
     return words.dictionary, which[order], text[order]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as bytes; whole ones by their differences, of which sorted strings have short ones."""
+    if values.dtype.kind != "f":
+        values = np.diff(values.view(np.int64), prepend=0)
+    octets = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T  # like bytes together
+    return zstandard.ZstdCompressor(level=1).compress(octets.tobytes())
+
+
+def _unpacked(blob: bytes, kind: type) -> np.ndarray:
+    octets = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    values = np.ascontiguousarray(octets.T).reshape(-1).view(np.float64 if kind is np.float64 else np.int64)
+    return values if kind is np.float64 else np.cumsum(values).view(kind)
+
+
 def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys in order, and the sum of each one's n."""
     if not len(keys):
         return keys, n
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, n = keys[order], n[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     return keys[first], np.add.reduceat(n, first)
 
 
 class Counter:
-    """Sums by string and by word; what waits is added up whenever it has grown to PENDING."""
+    """Sums by string and by word; what waits is added up whenever there is as much of it as of sums."""
 
     def __init__(self) -> None:
         self.grams: list[tuple[np.ndarray, np.ndarray]] = []
         self.words: list[pa.Table] = []
-        self.waiting = self.asked = 0
+        self.waiting = self.size = 0
 
     def add(self, grams: np.ndarray, n: np.ndarray, words: pa.Array, word_n: np.ndarray) -> None:
         self.grams.append((grams, n))
         self.words.append(pa.table({"w": words.cast(pa.large_binary()), "n": pa.array(word_n, pa.int64())}))
         self.waiting += len(grams) + len(words)
-        if self.waiting > PENDING:
+        if self.waiting > max(PENDING, self.size):
             self.sums()
 
     def sums(self) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
         grams, n = _added(*(np.concatenate(c) for c in zip(*self.grams)))
         table = pa.concat_tables(self.words).group_by("w").aggregate([("n", "sum")])
         self.grams, self.words, self.waiting = [(grams, n)], [table.rename_columns({"n_sum": "n"}).select(["w", "n"])], 0
+        self.size = len(grams) + len(table)
         words = table["w"].combine_chunks()
         return grams, n, words.chunk(0) if isinstance(words, pa.ChunkedArray) else words, table["n_sum"].to_numpy()
 
@@ -175,14 +190,15 @@ def _requests(batch: int, counter: Counter, n: int) -> pa.RecordBatch:
     grams, gram_n, words, word_n = counter.sums()
     by = _parts(grams, n).astype(np.int64)
     by_word = np.fromiter((zlib.crc32(w) % n for w in words.to_pylist()), np.int64, len(words))
-    flat = lambda values, order, lists: pa.ListArray.from_arrays(lists.offsets, pa.array(values[order]))
-    order, gram_lists = _lists(pa.array(grams.view(np.int64)), by, n)
+    order = np.argsort(by, kind="stable")
+    cuts = np.searchsorted(by[order], np.arange(1, n))
+    packed = [pa.array([_packed(x) for x in np.split(values[order], cuts)], pa.binary()) for values in (grams, gram_n)]
     word_order, word_lists = _lists(words.cast(pa.binary()), by_word, n)
     none = lambda kind: pa.nulls(n, kind)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(["asked"] * n), pa.array([batch] * n, pa.int64()), pa.array(range(n), pa.int32()),
-            gram_lists, flat(gram_n, order, gram_lists), word_lists, flat(word_n, word_order, word_lists),
+            *packed, word_lists, pa.ListArray.from_arrays(word_lists.offsets, pa.array(word_n[word_order])),
             none(pa.list_(pa.int64())), none(pa.list_(pa.bool_())), none(pa.list_(pa.bool_())), none(pa.list_(pa.int32())), none(pa.binary()), none(pa.binary()),
         ],
         _STORED_NAMES,
@@ -216,7 +232,7 @@ def _stored(docs: DataFrame, n: int, chunk: int, size_of_batch: int) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(["text"]), one(number, pa.int64()), one(seq, pa.int32()),
-                    *[pa.nulls(1, pa.list_(k)) for k in (pa.int64(), pa.int64(), pa.binary(), pa.int64())],
+                    *[pa.nulls(1, k) for k in (pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))],
                     one(ids, pa.list_(pa.int64())), one(held, pa.list_(pa.bool_())), one(last, pa.list_(pa.bool_())),
                     one([len(r) for r in raws], pa.list_(pa.int32())), one(context, pa.binary()), one(squeeze(b"".join(raws)), pa.binary()),
                 ],
@@ -241,13 +257,9 @@ def _rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows as values of the named columns: plain ones as they are, lists as flat arrays."""
     for batch in batches:
         columns = [batch.column(n) for n in names]
-        plain = [None if pa.types.is_list(c.type) else c.to_pylist() for c in columns]
+        lists = [pa.types.is_list(c.type) for c in columns]
         for i in range(batch.num_rows):
-            yield tuple(c.slice(i, 1).flatten() if p is None else p[i] for c, p in zip(columns, plain))
-
-
-def _keys(values: pa.Array) -> np.ndarray:
-    return values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+            yield tuple(c.slice(i, 1).flatten() if many else c[i].as_py() for c, many in zip(columns, lists))
 
 
 def _trie(asked: DataFrame) -> DataFrame:
@@ -256,10 +268,10 @@ def _trie(asked: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(part: int, counter: Counter) -> pa.RecordBatch:
             grams, n, words, word_n = counter.sums()
-            values = [part, grams.view(np.int64), n, words.cast(pa.binary()), word_n, int(word_n.sum()), int(np.count_nonzero(word_n))]
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if isinstance(v, pa.Array) else pa.array(v)) for v in values[1:5]]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (words.cast(pa.binary()), pa.array(word_n))]
+            told = pa.array([int(word_n.sum())], pa.int64()), pa.array([int(np.count_nonzero(word_n))], pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), *lists, pa.array(values[5:6], pa.int64()), pa.array(values[6:], pa.int64())],
+                [pa.array([part], pa.int32()), pa.array([_packed(grams)]), pa.array([_packed(n)]), *lists, *told],
                 ["part", "grams", "gram_n", "words", "word_n", "tokens", "vocabulary"],
             )
 
@@ -269,7 +281,7 @@ def _trie(asked: DataFrame) -> DataFrame:
                 yield out(open_, counter)
                 counter = Counter()
             open_ = part
-            counter.add(_keys(grams), n.to_numpy(zero_copy_only=False), words, word_n.to_numpy(zero_copy_only=False))
+            counter.add(_unpacked(grams, np.uint64), _unpacked(n, np.int64), words, word_n.to_numpy(zero_copy_only=False))
         if open_ is not None:
             yield out(open_, counter)
 
@@ -282,8 +294,8 @@ def _short_contexts(trie: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, grams, n in _rows(batches, "part", "grams", "gram_n"):
-            keys = _keys(grams)
-            both, n = _added((_field(keys, ROOT - 1) << np.uint64(BITS)) | (keys & np.uint64(511)), n.to_numpy(zero_copy_only=False))
+            keys = _unpacked(grams, np.uint64)
+            both, n = _added((_field(keys, ROOT - 1) << np.uint64(BITS)) | (keys & np.uint64(511)), _unpacked(n, np.int64))
             both = both.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(both), pa.int32()), pa.array(both >> BITS), pa.array(both & 511), pa.array(n)], ["part", "context", "symbol", "n"])
 
@@ -371,30 +383,30 @@ def _answers(trie: DataFrame, asked: DataFrame, short: DataFrame) -> DataFrame:
     known = short.select("part", "context").distinct().join(followed, "context")
     none = lambda name, kind: F.lit(None).cast(kind).alias(name)
     rows_of = [
-        known.select("part", F.lit(0).alias("kind"), F.col("context").alias("id"), F.col("f.symbol").alias("grams"), F.col("f.n").alias("gram_n"), none("words", "array<binary>"), none("word_n", "array<long>")),
-        trie.select("part", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("id"), "grams", "gram_n", "words", "word_n"),
-        asked.select("part", F.lit(2).alias("kind"), F.col("batch").alias("id"), "grams", none("gram_n", "array<long>"), "words", none("word_n", "array<long>")),
+        known.select("part", F.lit(0).alias("kind"), F.col("context").alias("id"), none("grams", "binary"), none("gram_n", "binary"), F.col("f.symbol").alias("symbols"), F.col("f.n").alias("n"), none("words", "array<binary>"), none("word_n", "array<long>")),
+        trie.select("part", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("id"), "grams", "gram_n", none("symbols", "array<long>"), none("n", "array<long>"), "words", "word_n"),
+        asked.select("part", F.lit(2).alias("kind"), F.col("batch").alias("id"), "grams", none("gram_n", "binary"), none("symbols", "array<long>"), none("n", "array<long>"), "words", none("word_n", "array<long>")),
     ]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, below, keys, chances, words, counts = None, [], None, None, None, None
-        for part, kind, id_, grams, n, some, some_n in _rows(batches, "part", "kind", "id", "grams", "gram_n", "words", "word_n"):
+        for part, kind, id_, grams, n, symbols, symbol_n, some, some_n in _rows(batches, "part", "kind", "id", "grams", "gram_n", "symbols", "n", "words", "word_n"):
             if part != open_:
                 open_, below = part, []
             if kind == 0:
-                below.append(((np.uint64(id_) << np.uint64(BITS)) | _keys(grams), n.to_numpy(zero_copy_only=False)))
+                below.append(((np.uint64(id_) << np.uint64(BITS)) | symbols.to_numpy().view(np.uint64), symbol_n.to_numpy()))
             elif kind == 1:
-                keys, words, counts = _keys(grams), some, some_n
-                chances = log_probabilities(keys, _levels(keys, n.to_numpy(zero_copy_only=False), below, first))
+                keys, words, counts = _unpacked(grams, np.uint64), some, some_n
+                chances = log_probabilities(keys, _levels(keys, _unpacked(n, np.int64), below, first))
             else:
-                told = chances[np.searchsorted(keys, _keys(grams))]
+                told = _packed(chances[np.searchsorted(keys, _unpacked(grams, np.uint64))])
                 found = counts.take(pc.index_in(some, value_set=words))
-                lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (grams, pa.array(told), some, found)]
-                yield pa.RecordBatch.from_arrays([pa.array([id_], pa.int64()), *lists], ["batch", "grams", "chances", "words", "word_n"])
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in (some, found)]
+                yield pa.RecordBatch.from_arrays([pa.array([id_], pa.int64()), pa.array([grams]), pa.array([told]), *lists], ["batch", "grams", "chances", "words", "word_n"])
 
     dealt = rows_of[0].unionByName(rows_of[1]).unionByName(rows_of[2])
     dealt = dealt.repartition(partitions(trie.sparkSession), "part").sortWithinPartitions("part", "kind", "id")
-    return dealt.mapInArrow(run, "batch long, grams array<long>, chances array<double>, words array<binary>, word_n array<long>")
+    return dealt.mapInArrow(run, "batch long, grams binary, chances binary, words array<binary>, word_n array<long>")
 
 
 def score(docs: DataFrame, chunk: int = CHUNK, batch: int = BATCH) -> DataFrame:
@@ -426,9 +438,9 @@ def score(docs: DataFrame, chunk: int = CHUNK, batch: int = BATCH) -> DataFrame:
                 told.append((grams, chances, words, word_n))
                 continue
             if ready is None:
-                keys = np.concatenate([_keys(t[0]) for t in told])
+                keys = np.concatenate([_unpacked(t[0], np.uint64) for t in told])
                 order = np.argsort(keys)
-                ready = keys[order], np.concatenate([t[1].to_numpy(zero_copy_only=False) for t in told])[order], pa.concat_arrays([t[2] for t in told]), np.concatenate([t[3].to_numpy(zero_copy_only=False) for t in told])
+                ready = keys[order], np.concatenate([_unpacked(t[1], np.float64) for t in told])[order], pa.concat_arrays([t[2] for t in told]), np.concatenate([t[3].to_numpy(zero_copy_only=False) for t in told])
                 told = []
             blob, at, raws, last = expand(texts), 0, [], last.to_pylist()
             for length in lengths.to_pylist():
@@ -439,7 +451,10 @@ def score(docs: DataFrame, chunk: int = CHUNK, batch: int = BATCH) -> DataFrame:
             chance = np.repeat(ready[1][np.searchsorted(ready[0], strings[first])], np.diff(np.r_[first, len(strings)]))
             scores = np.bincount(text, chance, len(raws))
             known, which, text = _words(raws, last)
-            c = ready[3][pc.index_in(known.cast(pa.binary()), value_set=ready[2]).to_numpy(zero_copy_only=False).astype(np.int64)][which]
+            c = np.zeros(len(known), np.int64)
+            place = pc.fill_null(pc.index_in(ready[2], value_set=known.cast(pa.binary())), -1).to_numpy()
+            c[place[place >= 0]] = ready[3][place >= 0]  # each word of the texts was asked for
+            c = c[which]
             rows = np.stack([np.bincount(text, minlength=len(raws)), np.bincount(text, c > 0, len(raws)), np.bincount(text, np.log10((c + 1) / base), len(raws)), scores], 1)
             rows[0] += sums
             done = np.flatnonzero(last)
@@ -453,7 +468,7 @@ def score(docs: DataFrame, chunk: int = CHUNK, batch: int = BATCH) -> DataFrame:
 
     both = stored.filter("kind = 'text'").select(
         "batch", F.lit(1).alias("kind"), F.col("part").alias("seq"),
-        *[F.lit(None).cast(k).alias(c) for c, k in (("grams", "array<long>"), ("chances", "array<double>"), ("words", "array<binary>"), ("word_n", "array<long>"))],
+        *[F.lit(None).cast(k).alias(c) for c, k in (("grams", "binary"), ("chances", "binary"), ("words", "array<binary>"), ("word_n", "array<long>"))],
         "docs", "held", "last", "lengths", "context", "texts",
     )
     told = answers.select(
