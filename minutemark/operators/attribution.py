@@ -10,12 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import cut
 from . import intervals
 
 #: The highlight moves so long after a voice begins.
 LAG_US = 600_000
-#: How long the stretches of a meeting are within which overlaps are looked for: a long meeting is never compared whole.
-BUCKET_US = 60_000_000
 
 NO_READ = "No Speaker"
 
@@ -23,11 +22,15 @@ MEETING = ["meeting"]
 
 
 def screen_overlap(segments: DataFrame, changes: DataFrame, lag_us: int = LAG_US, bucket_us: int | None = None) -> DataFrame:
-    """meeting, seg, cluster, name, us: how long each name was on screen during each segment."""
+    """meeting, seg, cluster, name, us: how long each name was on screen during each segment.
+
+    ``bucket_us`` takes the join by stretches of so long in place of the sweep.
+    """
     track = intervals.to_intervals(changes, MEETING, ["t_us", "ord"], lag_us=lag_us).select(
         "meeting", "s_us", "e_us", F.col("label").alias("name")
     )
-    pairs = intervals.overlap_join(segments.select("meeting", "seg", "cluster", "s_us", "e_us"), track, MEETING, bucket_us)
+    spoken = segments.select("meeting", "seg", "cluster", "s_us", "e_us")
+    pairs = intervals.overlap_join_by_buckets(spoken, track, MEETING, bucket_us) if bucket_us else intervals.overlap_join(spoken, track, MEETING)
     return pairs.groupBy("meeting", "seg", "cluster", "name").agg(F.sum("us").alias("us"))
 
 
@@ -51,7 +54,6 @@ def attribute_segments(
     pure: float = 0.8,
     screen: float = 0.7,
     minor: float = 0.1,
-    bucket_us: int | None = BUCKET_US,
 ) -> DataFrame:
     """Segments with speaker, source ('cluster' or 'screen') and screen_share.
 
@@ -60,7 +62,7 @@ def attribute_segments(
     name, not 'Other', covers at least ``screen`` of it and holds at least ``minor`` of the
     cluster gets that name instead.
     """
-    overlap = screen_overlap(segments, changes, lag_us, bucket_us)
+    overlap = cut(screen_overlap(segments, changes, lag_us), "overlap")
     tally = cluster_tally(overlap)
     leading = cluster_plurality(tally)
     own = intervals.top_by(overlap, ["meeting", "seg"], "us", "name").select(
@@ -148,7 +150,6 @@ def label_turns(
     displays: DataFrame,
     durations: DataFrame,
     lag_us: int = LAG_US,
-    bucket_us: int | None = BUCKET_US,
 ) -> DataFrame:
     """Turns with speaker_name and ocr_label.
 
@@ -159,7 +160,7 @@ def label_turns(
     """
     reads = _reads(raw_changes, raw_to_speaker, durations, lag_us)
     spoken = turns.select("meeting", "turn", "s_us", "e_us", F.col("speaker").alias("resolved"))
-    during = intervals.overlap_join(spoken, reads, ["meeting", "resolved"], bucket_us).groupBy("meeting", "turn", "label").agg(F.sum("us").alias("us"))
+    during = intervals.overlap_join(spoken, reads, ["meeting", "resolved"]).groupBy("meeting", "turn", "label").agg(F.sum("us").alias("us"))
     best = intervals.top_by(during, ["meeting", "turn"], "us", "label").select("meeting", "turn", F.col("label").alias("_now"))
     usual = most_seen_label(reads).select("meeting", F.col("resolved").alias("speaker"), F.col("label").alias("_usual"))
     rows = turns.join(best, ["meeting", "turn"], "left").join(usual, ["meeting", "speaker"], "left")

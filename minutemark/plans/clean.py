@@ -12,7 +12,7 @@ from ..functions.lexicon import GIVEN_NAMES
 from ..functions.scalars import layout, microseconds
 from ..operators import intervals as iv
 from ..operators import labels, linking, registry
-from ..shared import cut
+from ..shared import cut, ranked
 from ..sources import meetings as src
 
 
@@ -147,3 +147,40 @@ def registry_file(c: Cleaned, parameters: dict) -> DataFrame:
         "meetings", "label_kinds", "merges", F.transform("p", lambda x: x.dropFields("_by")).alias("identities"), "refused",
     )
     return one.select(F.lit("registry").alias("meeting"), _json(fields).alias("value"))
+
+
+def registry_parts(c: Cleaned, parameters: dict) -> DataFrame:
+    """(section, pos, value): the same file in pieces, one for each person, refusal and meeting, between those that frame them.
+
+    Pieces carry their commas: all but the first of a list have one before them. No task holds a whole list.
+    """
+    people = c.identities.withColumn("seconds", F.round(F.col("us") / 1e6, 1))
+    person = _json(F.struct("speaker", "display", "seconds", "meetings", "titles", "roles", "variants"))
+    refused = c.evidence.filter("reason IS NOT NULL").select(
+        F.struct(F.concat(F.array("a"), F.split("b", ",")).alias("kept_apart"), "rule", F.round("score", 3).alias("score"), "reason", "meetings").alias("r")
+    )
+    quoted = lambda x: F.substring(_json(F.struct(x.alias("x"))), 6, 2**31 - 1)  # noqa: E731  of {"x":"..."} all but the first five
+    meetings = c.stats.select(F.col("meeting").cast("string").alias("m")).distinct()
+    lists = [
+        meetings.select(F.lit(1).alias("section"), F.lit(0.0).alias("by"), F.col("m").alias("then"), F.rtrim(quoted(F.col("m")), F.lit("}")).alias("value")),
+        people.select(F.lit(3).alias("section"), (-F.col("seconds")).alias("by"), F.col("speaker").alias("then"), person.alias("value")),
+        refused.select(F.lit(5).alias("section"), F.lit(0.0).alias("by"), F.to_json("r").alias("then"), _json(F.col("r")).alias("value")),
+    ]
+    items = ranked(lists[0].unionByName(lists[1]).unionByName(lists[2]), ["section"], [F.col("by"), F.col("then")], "registry")
+    items = items.select("section", "pos", F.concat(F.when(F.col("pos") > 0, ",").otherwise(""), "value").alias("value"))
+    kinds = c.kinds.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "n")))).alias("label_kinds"))  # a few kinds and rules
+    merges = registry.merges_per_rule(c.evidence).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("rule", "n")))).alias("merges"))
+    middle = F.regexp_replace(_json(F.struct("label_kinds", "merges")), r"^\{|\}$", "")
+    frames = [
+        items.sparkSession.createDataFrame([(0, 0, f'{{"version":"1.0.0","parameters":{json.dumps(parameters)},"meetings":[')], "section int, pos long, value string"),
+        kinds.join(merges).select(F.lit(2).alias("section"), F.lit(0).cast("long").alias("pos"), F.concat(F.lit("],"), middle, F.lit(',"identities":[')).alias("value")),  # one row each
+        items.sparkSession.createDataFrame([(4, 0, '],"refused":['), (6, 0, "]}")], "section int, pos long, value string"),
+    ]
+    for frame in frames:
+        items = items.unionByName(frame)
+    return items
+
+
+def summary(evidence: DataFrame) -> DataFrame:
+    """rule, merged, refused: how many links of each rule were followed and how many not."""
+    return evidence.groupBy("rule").agg(F.count_if(F.col("reason").isNull()).alias("merged"), F.count_if(F.col("reason").isNotNull()).alias("refused")).orderBy("rule")

@@ -9,6 +9,7 @@ from ..functions import scalars
 from ..operators import attribution as at
 from ..operators import intervals as iv
 from ..operators import render
+from ..shared import cut
 from . import recipes as r
 
 M = ["meeting"]
@@ -105,7 +106,7 @@ def most_seen_label(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    turns = at.merge_turns(attribute_segments(spark, d))
+    turns = cut(at.merge_turns(attribute_segments(spark, d)), "turns")
     displays = turns.select("meeting", "speaker", F.upper("speaker").alias("display")).distinct()
     return at.label_turns(turns, r.raw_changes(spark, d), _raw_to_speaker(spark, d), displays, r.durations(spark, d))
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lex
 from ..functions import scalars
 from ..operators import labels, linking, registry
-from ..shared import shared_dir
+from ..shared import cut, ranked, shared_dir
 from ..streaming.changes import changes_stream, run_available
+from . import linking_sql
 from . import recipes as r
 
 
@@ -53,9 +54,9 @@ def name_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def credibility_rank(spark: SparkSession, d: str) -> DataFrame:
-    i = linking.described(_pool(spark, d))
-    w = Window.partitionBy("scope").orderBy(F.desc("c"))
-    return i.withColumn("c", linking.credibility()).select("scope", "key", F.row_number().over(w).alias("place"))
+    """Each identity's place in its scope by credibility; a scope spreads over many ranges."""
+    c = linking.described(_pool(spark, d)).select("scope", "key", linking.credibility().alias("c"))
+    return ranked(c, ["scope"], [F.desc("c")], "credibility").select("scope", "key", (F.col("pos") + 1).cast("int").alias("place"))
 
 
 def candidate_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -75,16 +76,17 @@ def prefix_suffix_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pair_rule(spark: SparkSession, d: str) -> DataFrame:
-    i = linking.described(_pool(spark, d))
-    return linking.pair_rule(linking.candidate_pairs(i), i).filter("rule IS NOT NULL")
+    """The pairs that a rule links; the index finds them without comparing whole blocks."""
+    i = cut(linking.described(_pool(spark, d)), "identities")
+    return linking.Index.of(i).judged(i).filter("together").drop("together")
 
 
 def best_links(spark: SparkSession, d: str) -> DataFrame:
-    return linking.candidate_links(linking.described(_pool(spark, d)), linking.SPELLING)[0]
+    return linking.candidate_links(cut(linking.described(_pool(spark, d)), "identities"), linking.SPELLING)[0]
 
 
 def refused_links(spark: SparkSession, d: str) -> DataFrame:
-    refused = linking.candidate_links(linking.described(_pool(spark, d)), linking.SPELLING)[1]
+    refused = linking.candidate_links(cut(linking.described(_pool(spark, d)), "identities"), linking.SPELLING)[1]
     return refused.withColumn("fulls", F.array_join("fulls", ","))
 
 
@@ -145,25 +147,34 @@ def _skel(x: str) -> str:
 
 _WORDS = r"words AS (SELECT DISTINCT unnest(string_split_regex(text, '[ \t\n\x0B\f\r]+')) AS word FROM documents)"
 
-_POOL = r.SQL + f""", sightings AS (SELECT *, replace(name, ' ', '') AS key FROM people),
+def _described(pool: str, n: str) -> str:
+    """Common table expressions, ending with ``i``: the identities of a pool with what the rules look at; ``n`` ends their names."""
+    return f""", parts{n} AS (SELECT *, string_split(name, ' ') AS tokens, list_filter(string_split(name, ' '), lambda t: length(t) > 1) AS fw, {_skel('key')} AS skel,
+  truncated_us > 0.5 * us AS clipped FROM {pool}),
+named{n} AS (SELECT *, CASE WHEN len(fw) >= 2 THEN fw[-1] ELSE '' END AS surname, CASE WHEN len(tokens) >= 2 THEN tokens[1] ELSE '' END AS given,
+  CASE WHEN len(fw) >= 2 AND array_to_string(fw, '') = key THEN fw ELSE tokens END AS cw FROM parts{n}),
+i{n} AS MATERIALIZED (SELECT *, CASE WHEN len(cw) > 1 THEN list_transform(range(1, len(cw)), lambda n: length(array_to_string(cw[1:n], ''))) ELSE [] END AS cuts,
+  {_skel('surname')} AS ssur, {_skel('given')} AS sgiv, {_skel('key[2:]')} AS stail, {_skel("coalesce(tokens[2], '')")} AS stwo FROM named{n})"""
+
+
+_POOL = (
+    r.SQL
+    + f""", sightings AS (SELECT *, replace(name, ' ', '') AS key FROM people),
 bm AS (SELECT scope, key, meeting::VARCHAR AS meeting, sum(us) AS us, sum(CASE WHEN truncated THEN us ELSE 0 END) AS tus, count(title) AS nt,
   min(name) AS name FROM sightings GROUP BY ALL),
 pool AS (SELECT scope, key, arg_min(name, meeting) AS name, sum(us)::BIGINT AS us, sum(tus)::BIGINT AS truncated_us, sum(nt)::BIGINT AS n_titles, count(*) AS n_meetings
-  FROM bm GROUP BY ALL),
-parts AS (SELECT *, string_split(name, ' ') AS tokens, list_filter(string_split(name, ' '), lambda t: length(t) > 1) AS fw, {_skel('key')} AS skel,
-  truncated_us > 0.5 * us AS clipped FROM pool),
-named AS (SELECT *, CASE WHEN len(fw) >= 2 THEN fw[-1] ELSE '' END AS surname, CASE WHEN len(tokens) >= 2 THEN tokens[1] ELSE '' END AS given,
-  CASE WHEN len(fw) >= 2 AND array_to_string(fw, '') = key THEN fw ELSE tokens END AS cw FROM parts),
-i AS (SELECT *, CASE WHEN len(cw) > 1 THEN list_transform(range(1, len(cw)), lambda n: length(array_to_string(cw[1:n], ''))) ELSE [] END AS cuts,
-  {_skel('surname')} AS ssur, {_skel('given')} AS sgiv, {_skel('key[2:]')} AS stail, {_skel("coalesce(tokens[2], '')")} AS stwo FROM named),
-blocks AS (SELECT DISTINCT scope, key, block FROM (
+  FROM bm GROUP BY ALL)
+"""
+    + _described("pool", "")
+    + f""", blocks AS (SELECT DISTINCT scope, key, block FROM (
   SELECT scope, key, 'h' || left(skel, 2) AS block FROM i UNION ALL SELECT scope, key, 't' || right(skel, 4) FROM i
   UNION ALL SELECT scope, key, 's' || ssur FROM i WHERE surname <> '' UNION ALL SELECT scope, key, 'g' || sgiv FROM i WHERE given <> ''
   UNION ALL SELECT scope, key, 's' || skel FROM i WHERE len(tokens) = 1 UNION ALL SELECT scope, key, 'g' || skel FROM i WHERE len(tokens) = 1
   UNION ALL SELECT scope, key, 's' || stail FROM i WHERE len(tokens) = 1 AND length(key) >= 5
   UNION ALL SELECT scope, key, 's' || stwo FROM i WHERE len(tokens) = 2 AND length(tokens[1]) = 1)),
-cand AS (SELECT DISTINCT x.scope, x.key AS a, y.key AS b FROM blocks x JOIN blocks y ON x.scope = y.scope AND x.block = y.block AND x.key < y.key)
+cand AS MATERIALIZED (SELECT DISTINCT x.scope, x.key AS a, y.key AS b FROM blocks x JOIN blocks y ON x.scope = y.scope AND x.block = y.block AND x.key < y.key)
 """
+)
 
 
 def _sim(a: str, b: str) -> str:
@@ -175,13 +186,13 @@ def _pre(s: str, f: str, side: str) -> str:
     return f"(length({s}) < length({f}) AND ({part} = {s} OR (length({s}) >= 10 AND {_sim(s, part)} >= 0.9)))"
 
 
-def _rules(pairs: str, n: str = "") -> str:
+def _rules(pairs: str, n: str = "", i: str = "i") -> str:
     """Common table expressions that judge a table of pairs; ``n`` ends their names, so that one query can hold two."""
     return f""", sides{n} AS (
   SELECT c.scope, c.a, c.b, x AS xa, y AS xb,
     CASE WHEN length(c.a) < length(c.b) OR (length(c.a) = length(c.b) AND c.a < c.b) THEN x ELSE y END AS s,
     CASE WHEN length(c.a) < length(c.b) OR (length(c.a) = length(c.b) AND c.a < c.b) THEN y ELSE x END AS f
-  FROM {pairs} c JOIN i x ON c.scope = x.scope AND c.a = x.key JOIN i y ON c.scope = y.scope AND c.b = y.key),
+  FROM {pairs} c JOIN {i} x ON c.scope = x.scope AND c.a = x.key JOIN {i} y ON c.scope = y.scope AND c.b = y.key),
 facts{n} AS (
   SELECT *, {_sim('xa.skel', 'xb.skel')} AS alike, length(s.key) / length(f.key) AS ratio, length(f.key) - length(s.key) AS gone,
     left(a, 3) = left(b, 3) AS same_head, length(s.key) >= 6 AND length(s.key) < length(f.key) AS shorter, length(f.tokens[1]) AS first,
@@ -197,7 +208,7 @@ judged{n} AS (
     xb.surname <> '' AND xb.given <> '' AND NOT xb.clipped AND length(a) >= 5 AS okb,
     xa.surname <> '' AND xa.given <> '' AND NOT xa.clipped AND length(b) >= 5 AS oka
   FROM facts{n}),
-ruled{n} AS (
+ruled{n} AS MATERIALIZED (
   SELECT scope, a, b, CASE
     WHEN xa.skel = xb.skel THEN {{'r': 'ocr_variant', 'v': 1.0::DOUBLE, 'p': a, 'f': b}}
     WHEN variant AND same_head THEN {{'r': 'ocr_variant', 'v': alike, 'p': a, 'f': b}}
@@ -219,28 +230,11 @@ ruled{n} AS (
 
 _RULES = _POOL + _rules("cand")
 
-#: The spelling links of whole scopes: a partial form, all that it could stand for, its strongest option, and whether those agree.
-_LINKS = (
-    _RULES
-    + """, spelt AS (SELECT scope, x.r AS rule, x.v AS score, x.p AS partial, x.f AS "full",
-    CASE x.r WHEN 'ocr_variant' THEN 1 WHEN 'left_clip' THEN 3 ELSE 2 END AS priority
-  FROM ruled WHERE x.r IN ('ocr_variant', 'truncation', 'tail_noise', 'left_clip')),
-options AS (SELECT o.*, p.skel AS ps FROM spelt o JOIN i p ON o.scope = p.scope AND o.partial = p.key WHERE rule <> 'ocr_variant'),
-fulls AS (SELECT scope, partial, "full" FROM options
-  UNION SELECT o.scope, o.partial, k.key FROM options o JOIN i k ON o.scope = k.scope AND k.key <> o.partial AND (
-    rule = 'truncation' AND length(k.skel) > length(ps) AND starts_with(k.skel, ps)
-    OR rule = 'left_clip' AND length(k.skel) > length(ps) AND ends_with(k.skel, ps)
-    OR rule = 'tail_noise' AND length(k.skel) BETWEEN 6 AND length(ps) - 1 AND starts_with(ps, k.skel))),
-two AS (SELECT x.scope, x.partial, x."full" AS a, y."full" AS b FROM fulls x JOIN fulls y ON x.scope = y.scope AND x.partial = y.partial AND x."full" < y."full"),
-asked AS (SELECT DISTINCT scope, a, b FROM two)
-"""
-    + _rules("asked", "2")
-    + """, apart AS (SELECT DISTINCT two.scope, two.partial FROM two JOIN ruled2 r ON two.scope = r.scope AND two.a = r.a AND two.b = r.b
-  WHERE x IS NULL OR x.r NOT IN ('ocr_variant', 'truncation', 'tail_noise', 'left_clip')),
-strongest AS (SELECT o.* FROM options o JOIN i k ON o.scope = k.scope AND o."full" = k.key
-  QUALIFY row_number() OVER (PARTITION BY o.scope, o.partial ORDER BY priority, score DESC, k.us DESC, o."full") = 1)
-"""
-)
+#: The spelling links of whole scopes.
+_LINKS = _POOL + linking_sql.links("", "i", linking.SPELLING, _rules)
+
+#: Linking from the first round to the last.
+_LINKED = linking_sql.linking(_POOL, _described, _rules)
 
 
 def _in(values: list[str]) -> str:
@@ -265,13 +259,11 @@ ORACLES = {
     "normalized_similarity": _POOL + f"SELECT scope, a, b, {_sim('a', 'b')} AS similarity, levenshtein(a, b) <= 2 AS within_two FROM cand",
     "prefix_suffix_match": _POOL + f"SELECT scope, a, b, {_pre('a', 'b', 'left')} AS prefix, {_pre('a', 'b', 'right')} AS suffix FROM cand",
     "pair_rule": _RULES + "SELECT scope, a, b, x.r AS rule, x.v AS score, x.p AS partial, x.f AS \"full\" FROM ruled WHERE x IS NOT NULL",
-    "best_links": _LINKS
-    + """SELECT scope, priority, score, partial, "full", rule FROM spelt WHERE rule = 'ocr_variant'
-        UNION ALL SELECT scope, priority, score, partial, "full", rule FROM strongest ANTI JOIN apart USING (scope, partial)""",
-    "refused_links": _LINKS
-    + """SELECT s.scope, s.partial, s.rule, s.score, array_to_string(list_sort(list(f."full"))[1:5], ',') AS fulls, count(*) AS n
-        FROM strongest s SEMI JOIN apart USING (scope, partial) JOIN fulls f ON s.scope = f.scope AND s.partial = f.partial
-        GROUP BY s.scope, s.partial, s.rule, s.score""",
+    "best_links": _LINKS + linking_sql.best(""),
+    "refused_links": _LINKS + linking_sql.refusals(""),
+    "link_identities": _LINKED + "SELECT * FROM mapping",
+    "link_evidence": _LINKED + "SELECT * FROM evidence",
+    "registry_people": _LINKED + linking_sql.REGISTRY,
     "display_names": _POOL + """, top AS (SELECT scope, key, name FROM (SELECT scope, key, name, sum(us) AS us FROM sightings GROUP BY ALL)
         QUALIFY row_number() OVER (PARTITION BY scope, key ORDER BY us DESC, name) = 1)
         SELECT scope, key AS canonical, CASE WHEN key || scope IN (SELECT key || scope FROM sightings WHERE title IS NOT NULL) THEN 'Judge ' ELSE '' END || name AS display FROM top""",

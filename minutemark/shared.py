@@ -7,8 +7,10 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -37,7 +39,7 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
             _own[app.applicationId] = folder = tempfile.mkdtemp(prefix="spark-minutemark-")
             atexit.register(shutil.rmtree, folder, ignore_errors=True)
         base = "file://" + _own[app.applicationId]
-    return f"{base.rstrip('/')}/minutemark/{tag}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/minutemark/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, tag: str) -> DataFrame:
@@ -45,3 +47,37 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     path = shared_dir(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_all(*tables: tuple[DataFrame, str]) -> list[DataFrame]:
+    """``cut`` of several tables, written at the same time."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(lambda table: cut(*table), tables))
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder; whatever reads from there must be done."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/minutemark/{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[Column], tag: str) -> DataFrame:
+    """Add ``pos``, each row's place from 0 within its group, and ``n``, the group's number of rows; group columns aren't null.
+
+    Rows are dealt out by ranges of group and order and written once with their place in the range. A group of any
+    size spreads over many ranges; of the rest only the counts by group and range are moved.
+    """
+    keys = [*[F.col(c) for c in group], *order]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id()), tag)
+    ranged = ranged.withColumns({"_range": F.shiftright("_id", 33), "_low": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
+    every = Window.partitionBy(*group)
+    counts = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_low").alias("_first"))
+    counts = counts.select(
+        *group, "_range", F.sum("_n").over(every).alias("n"), (F.sum("_n").over(every.orderBy("_range")) - F.col("_n") - F.col("_first")).alias("_shift")
+    )
+    out = ranged.join(cut(counts, f"{tag}-counts"), [*group, "_range"])
+    return out.withColumn("pos", F.col("_low") + F.col("_shift")).drop("_range", "_low", "_shift")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_id, microseconds
+from ..shared import ranked
+from .sink import write_named
 
 VIDEO_SUFFIXES = [".mp4", ".mkv", ".webm", ".mov", ".m4v", ".avi"]
 AUDIO_SUFFIXES = [".wav", ".mp3", ".m4a", ".flac"]
@@ -47,18 +47,13 @@ def prefer_primary(files: DataFrame, key: str, order: list[str]) -> DataFrame:
 def shard(items: DataFrame, order: str, i: int, n: int) -> DataFrame:
     """The items whose place in the order is ``i`` modulo ``n``, from 0.
 
-    Places are counted without one global sort task: ranges of the order are
-    counted first, then numbered within.
+    Places are counted without one global sort task: see ``ranked``.
     """
-    ranged = items.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # a row for each range
-    place = F.col("_start") + F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return ranged.join(F.broadcast(starts), "_range").withColumn("_place", place).filter(F.col("_place") % n == i).select(*items.columns)
+    placed = ranked(items, [], [F.col(order)], "shard")
+    return placed.filter(F.col("pos") % n == i).select(*items.columns)
 
 
-def read_json(spark: SparkSession, path: str, schema: str, suffixes: list[str], legacy: str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str | list[str], schema: str, suffixes: list[str], legacy: str | None = None) -> DataFrame:
     """One row for each meeting's JSON file, with ``meeting``; of a meeting's two forms the one that isn't legacy."""
     glob = "{" + ",".join("*" + s for s in suffixes) + "}"
     rows = (
@@ -73,7 +68,7 @@ def read_json(spark: SparkSession, path: str, schema: str, suffixes: list[str],
     return rows.drop("_file")
 
 
-def read_ocr(spark: SparkSession, path: str) -> DataFrame:
+def read_ocr(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_json(spark, path, OCR, [".ocr.json", ".video.json"], legacy=".video.json")
 
 
@@ -113,35 +108,10 @@ def pairs_json(changes: DataFrame, label: str, name: str) -> DataFrame:
 def export(rows: DataFrame, path: str, suffix: str, overwrite: bool = False) -> int:
     """Write ``value`` of each (meeting, value) to ``path``/<meeting><suffix>; returns how many files were written.
 
-    Files appear whole: each is written under another name and renamed. Where
-    a file exists it is left as it is unless ``overwrite``. ``path`` is a
+    All files appear or none: see ``sink``. Where a file exists it is left as it is unless ``overwrite``. ``path`` is a
     URI that every executor reaches.
     """
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        store, folder = fs.FileSystem.from_uri(path)
-        attempt, written = TaskContext.get().taskAttemptId(), 0
-        for batch in batches:
-            for meeting, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                final = f"{folder}/{meeting}{suffix}"
-                if overwrite or store.get_file_info(final).type == fs.FileType.NotFound:
-                    draft = f"{folder}/.{meeting}{suffix}.{attempt}"
-                    with store.open_output_stream(draft) as out:
-                        out.write((value or "").encode())
-                    store.move(draft, final)
-                    written += 1
-        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["written"])
-
-    from pyarrow import fs
-
-    store, folder = fs.FileSystem.from_uri(path)
-    store.create_dir(folder, recursive=True)
-    files = rows.select(F.col("meeting").cast("string"), F.col("value").cast("string"))
-    return files.mapInArrow(run, "written long").agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]
+    return write_named(rows, path, suffix, overwrite)
 
 
 def finished(spark: SparkSession, path: str, suffix: str) -> DataFrame:
