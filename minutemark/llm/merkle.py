@@ -14,10 +14,10 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions
+from ..shared import cut, ranked
 
 #: Nodes that become one.
 ARITY = 3
@@ -123,26 +123,6 @@ def fold(node: bytes, path: Iterable[tuple[int, bytes]]) -> bytes:
     return node
 
 
-def _numbered(rows: DataFrame, order: list[str], tag: str) -> DataFrame:
-    """Add ``pos``, each row's place from 0 within its ``scope``, and ``n``, the scope's number of rows.
-
-    Rows are dealt out by ranges of (scope, order) and written once with their place in the range. A scope of any
-    size spreads over many ranges; of the rest only the counts by scope and range are moved.
-    """
-    keys = [F.col("scope"), *[F.col(c).asc_nulls_first() for c in order]]
-    ranged = rows.repartitionByRange(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    ranged = cut(ranged.withColumn("_id", F.monotonically_increasing_id()), tag)
-    ranged = ranged.withColumns({"_range": F.shiftright("_id", 33), "_low": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id")
-    every = Window.partitionBy("scope")
-    counts = ranged.groupBy("scope", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_low").alias("_first"))
-    counts = counts.select(
-        "scope", "_range", F.sum("_n").over(every).alias("n"),
-        (F.sum("_n").over(every.orderBy("_range")) - F.col("_n") - F.col("_first")).alias("_shift"),
-    )
-    out = ranged.join(cut(counts, f"{tag}-counts"), ["scope", "_range"])
-    return out.withColumn("pos", F.col("_low") + F.col("_shift")).drop("_range", "_low", "_shift")
-
-
 def _blocks(members: DataFrame, tag: str) -> DataFrame:
     """(scope, pos, n, node, carried) to stored blocks: scope, block, n, levels, nodes, root, and the members' carried values in order."""
     carried = members.schema["carried"].dataType
@@ -237,14 +217,15 @@ def build(docs: DataFrame, shown: Column | None = None) -> Manifest:
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("scope"),  # null sorts first and stays apart from empty
         F.col("doc_id").cast("long").alias("doc_id"), leaf.alias("node"), (leaf if shown is None else F.coalesce(shown, leaf)).alias("shown"),
     )
-    rows = _numbered(rows, ["doc_id", "node"], "merkle-leaves")
+    rows = cut(rows, "merkle-digests")  # texts are read and hashed once; what follows moves digests
+    rows = ranked(rows, ["scope"], [F.col("doc_id").asc_nulls_first(), F.col("node")], "merkle-leaves")
     members = rows.select("scope", "pos", "n", "node", F.struct("doc_id", F.when(F.col("shown") != F.col("node"), F.col("shown")).alias("shown")).alias("carried"))
     largest = rows.agg(F.max("n")).first()[0]
     if largest is None:
         return Manifest([], [], rows.select("scope", F.col("node").alias("root")), None)
     tiers, roots = _tiers(members, largest, "merkle-blocks")
     subroots = cut(roots, "merkle-subroots")
-    named = _numbered(subroots.select(F.lit("").alias("scope"), F.col("scope").alias("name"), F.col("root").alias("node")), ["name"], "merkle-sources")
+    named = ranked(subroots.select(F.lit("").alias("scope"), F.col("scope").alias("name"), F.col("root").alias("node")), ["scope"], [F.col("name")], "merkle-sources")
     tops, root = _tiers(named.select("scope", "pos", "n", "node", F.col("name").alias("carried")), named.agg(F.max("n")).first()[0], "merkle-tops")
     return Manifest(tiers, tops, subroots, bytes(root.first()["root"]))
 
