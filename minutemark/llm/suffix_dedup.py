@@ -21,7 +21,7 @@ WINDOW = 400
 #: Windows are keyed by the least hash of the strings of so many bytes that they hold.
 GRAM = 200
 
-#: The production query also reports, and leaves in place, repeated strings of so many bytes; their windows' keys.
+#: What a report of shorter repeats, which stay in place, may ask for: strings of so many bytes, and their windows' keys.
 REPORT, REPORT_GRAM = 256, 104
 
 #: Windows that are hashed at once; bounds a very long text's memory.
