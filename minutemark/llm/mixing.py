@@ -10,6 +10,9 @@ from .common import WORD, cut, ordered_prefix, text_or_empty, unused, word_count
 #: Documents that meet in one task's fold, on average; the tree has log(rows) / log(BLOCK) levels.
 BLOCK = 256
 
+#: A document of more than a HEADth of its source's words is settled before the tree; a source has fewer than HEAD of them.
+HEAD = 256
+
 #: No document is taken more often than this.
 MOST_COPIES = 3
 
@@ -63,8 +66,43 @@ def _fold(seed: str) -> str:
     )
 
 
+def _head_fold(seed: str) -> str:
+    """Rounding of a source's large documents, each paired with the pool of all smaller ones; ``rate`` is left to the pool.
+
+    The documents of the pool are all taken at one rate, so that words move between document a and the pool by changing
+    it. Document a gets the rate rounded down or, with the chance ``f`` of its fraction, up; the pool gives the
+    ``(1 - f) * room`` words that a gains then, or takes the ``f * room`` that it loses. What the pool can't balance
+    between no and MOST_COPIES copies shrinks both by the same ``part``, so that expectations stay in any case.
+    """
+    rate, room, rest = "acc.rate", "a.room", "(acc.rest - a.room)"
+    f = f"({rate} - floor({rate}))"
+    part = (
+        f"least(1D, coalesce({rate} * {rest} / nullif((1 - {f}) * {room}, 0), 1D), "
+        f"coalesce(({MOST_COPIES} - {rate}) * {rest} / nullif({f} * {room}, 0), 1D))"
+    )
+    up = f"(shiftrightunsigned(xxhash64(a.doc_id, a.size, source, {seed}), 11) / 9007199254740992D) < {f}"
+    after = f"{rate} + if({up}, {f} - 1, {f}) * {room} * {part} / {rest}"
+    return (
+        f"aggregate(items, named_struct('rate', rate, 'rest', cast(source_size as double), 'done', cast(array() as {_DONE})), "
+        f"(acc, a) -> named_struct("
+        f"'rate', if({rest} <= 0, {rate}, greatest(0D, least({MOST_COPIES}D, {after}))), 'rest', {rest}, "
+        f"'done', concat(acc.done, array(named_struct("
+        f"'doc_id', a.doc_id, 'size', a.size, 'm', a.m, 'up', int(floor({rate}) - base + int({up})))))))"
+    )
+
+
+#: Large documents first; ties by doc_id, null first.
+_LARGE_FIRST = (
+    "array_sort(items, (x, y) -> CASE WHEN x.room > y.room THEN -1 WHEN x.room < y.room THEN 1 "
+    "WHEN x.doc_id < y.doc_id THEN -1 WHEN x.doc_id > y.doc_id THEN 1 "
+    "WHEN x.doc_id IS NULL AND y.doc_id IS NOT NULL THEN -1 "
+    "WHEN y.doc_id IS NULL AND x.doc_id IS NOT NULL THEN 1 "
+    "WHEN x.mass < y.mass THEN -1 WHEN x.mass > y.mass THEN 1 ELSE 0 END)"
+)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """A row for each source of ``sizes`` (source, size, m): source_size, n_items, target.
+    """A row for each source of ``sizes`` (source, size, m): source_size, target.
 
     Sources in the order of their code points, null last, have the weights in
     turn and share the sum of all sizes; no target exceeds MOST_COPIES times its
@@ -73,10 +111,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     first k sources) / (weights of the rest) over all k, the sources being in the
     order of cap / weight: two prefix sums, however many sources there are.
     """
-    by_source = sizes.groupBy("source").agg(
-        F.sum(F.col("size") * F.col("m")).alias("source_size"),
-        F.sum((F.col("size") > 0).cast("long")).alias("n_items"),
-    )
+    by_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"))
     by_source = by_source.withColumn("_last", F.col("source").isNull()).withColumn("_cap", MOST_COPIES * F.col("source_size"))
     ranked = ordered_prefix(by_source, ["_last", "source"], {}, "sources")
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (F.col("_index") % len(weights) + 1).cast("int"))
@@ -92,7 +127,6 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return filled.select(
         "source",
         "source_size",
-        "n_items",
         F.least(F.col("_cap").cast("double"), F.lit(float(level or 0.0)) * F.col("weight")).alias("target"),
     )
 
@@ -103,15 +137,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     Returns doc_id, size (words of the text, null: 0), source_size, target (of
     its source), taken (size times the number of copies, 0 to 3) and source.
 
-    A source's rate is target / source_size: each document is taken floor(rate)
+    A source's rate is target / source_size: a document is taken floor(rate)
     times, and the rest of the rate is its chance of one copy more. Pivotal
-    rounding decides these: blocks of about BLOCK documents of one source are
+    rounding decides these. Documents with more than a HEADth of their source's
+    words, fewer than HEAD in a source, come first, from the largest, each
+    against all smaller ones of the source, whose common rate takes what it
+    gains or loses. Beside large documents that rate can leave the two copies
+    next to the source's, between 0 and MOST_COPIES; expected copies stay. Of the others blocks of about BLOCK documents of one source are
     folded, each leaves one undecided document, and these form the next level's
     blocks, until one is left for each source; it goes up with the chance that
     its mass has reached. So each document keeps its chance whatever the source's
     size. Mass moves between documents without loss: a source's taken words differ
-    from its target by less than the size of one document, the one that is left,
-    which is rather a small one as large documents are settled first.
+    from its target by less than the size of the one document that is left, which has at
+    most a HEADth of the source's words or is its smallest. Only what all smaller documents
+    together can't balance is missed beyond that, as where one text is larger than the target.
 
     The block and the chances come from hashes of doc_id, size and ``seed``: reruns
     agree on any partitioning. Rows that repeat doc_id, source and size are
@@ -141,32 +180,37 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), seed: int = 11) -
     settled = [rated.filter(~open_).select(*info, "doc_id", "size", "m", F.lit(0).alias("up"))]
 
     room = (F.col("size") * F.col("m")).cast("double")
-    level = rated.filter(open_).select(
-        *info,
-        "n_items",
-        F.struct("doc_id", "size", "m", room.alias("room"), (room * F.col("part")).alias("mass")).alias("item"),
+    large = room * HEAD > F.col("source_size")
+    item = F.struct("doc_id", "size", "m", room.alias("room"), (room * F.col("part")).alias("mass"))
+    heads = (
+        rated.filter(open_)
+        .groupBy(*info, (F.col("base") + F.col("part")).alias("rate"))
+        .agg(F.collect_list(F.when(large, item)).alias("items"), F.count(F.when(~large, 1)).alias("n_items"))
+        .withColumn("items", F.expr(_LARGE_FIRST))
+        .withColumn("out", F.expr(_head_fold(str(seed))))
+    )
+    heads = cut(heads.select(*info, "n_items", F.col("out.rate").alias("rate"), "out.done"), "heads")
+    settled.append(heads.select(*info, F.explode("done").alias("d")).select(*info, "d.*"))
+    pools = heads.select(F.col("source").alias("_source"), "n_items", "rate")
+    rest = (
+        rated.filter(open_ & ~large)
+        .join(pools, F.col("source").eqNullSafe(F.col("_source")))
+        .withColumn("base", F.floor("rate").cast("int"))
+        .withColumn("part", F.col("rate") - F.floor("rate"))
     )
-    most = rated.agg(F.max("n_items")).first()[0] or 0
+    settled.append(rest.filter("part = 0").select(*info, "doc_id", "size", "m", F.lit(0).alias("up")))
+    level = rest.filter("part > 0").select(*info, "n_items", item.alias("item"))
+    most = heads.agg(F.max("n_items")).first()[0] or 0
     depth = 0
     while True:
         most = -(-most // BLOCK)
         last = most <= 1
         blocks = F.ceil(F.col("n_items") / BLOCK).cast("long")
         place = F.pmod(F.xxhash64("item.doc_id", "item.size", F.lit(seed + depth)), blocks)
-        # Large documents first: what is left undecided at the end of a fold is then rather small.
         folded = (
             level.groupBy(*info, blocks.alias("n_items"), place.alias("block"))
             .agg(F.collect_list("item").alias("items"))
-            .withColumn(
-                "items",
-                F.expr(
-                    "array_sort(items, (x, y) -> CASE WHEN x.room > y.room THEN -1 WHEN x.room < y.room THEN 1 "
-                    "WHEN x.doc_id < y.doc_id THEN -1 WHEN x.doc_id > y.doc_id THEN 1 "
-                    "WHEN x.doc_id IS NULL AND y.doc_id IS NOT NULL THEN -1 "
-                    "WHEN y.doc_id IS NULL AND x.doc_id IS NOT NULL THEN 1 "
-                    "WHEN x.mass < y.mass THEN -1 WHEN x.mass > y.mass THEN 1 ELSE 0 END)"
-                ),
-            )
+            .withColumn("items", F.expr(_LARGE_FIRST))
         )
         folded = folded.withColumn("out", F.expr(_fold(str(seed + depth)))).select(*info, "n_items", "out.cur", "out.done")
         folded = cut(folded, f"level{depth}")
