@@ -179,44 +179,49 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 2048, with_
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
-def _exact(counts: np.ndarray, gap: int, most: int) -> list[int] | None:
-    """One to ``most`` (3 at the highest) available lengths that add up to ``gap``, most plentiful first."""
-    if most > 0 and counts[gap] > 0:
-        return [gap]
-    if most < 2:
-        return None
+class SumIndex:
+    """Which one, two or three available lengths add up to a gap.
 
-    def pair(total: int) -> tuple[int, list[int]] | None:
-        high = np.arange((total + 1) // 2, total)
-        have = np.minimum(counts[high], counts[total - high])
-        if total % 2 == 0 and len(high):
-            have[0] = counts[total // 2] // 2
-        if len(high) and (best := int(have.argmax())) is not None and have[best] > 0:
-            return int(have[best]), [int(high[best]), int(total - high[best])]
-        return None
+    Counts only fall, so a combination that has run out stays so: for each sum the index keeps the place of its first
+    combination, from its longest length down, that still had pieces, and never looks behind it again. All look-ups
+    together take at most ``cap ** 2`` steps for pairs and as many for triples.
+    """
 
-    if found := pair(gap):
-        return found[1]
-    for third in np.flatnonzero(counts[: max(0, gap - 1)])[::-1].tolist() if most > 2 else []:
-        counts[third] -= 1
-        found = pair(gap - third)
-        counts[third] += 1
-        if found:
-            return [third, *found[1]]
-    return None
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts
+        lengths = np.flatnonzero(counts)[::-1]
+        self.lengths = lengths.tolist()
+        self.places: tuple[dict[int, int], dict[int, int]] = ({}, {})
+
+    def find(self, total: int, parts: int) -> list[int] | None:
+        if parts == 1:
+            return [total] if self.counts[total] > 0 else None
+        lengths, places = self.lengths, self.places[parts - 2]
+        if total not in places:
+            places[total] = bisect.bisect_left(lengths, -(total - parts + 1), key=lambda x: -x)
+        for at in range(places[total], len(lengths)):
+            longest = lengths[at]
+            if longest * parts < total:
+                at = len(lengths)
+                break
+            if self.counts[longest] > 0 and (rest := self.find(total - longest, parts - 1)) and rest[0] <= longest:
+                if all(self.counts[x] >= k for x, k in Counter([longest, *rest]).items()):
+                    places[total] = at
+                    return [longest, *rest]
+        places[total] = len(lengths)
+        return None
 
 
 def plan_sequences(histogram: dict[int, int], cap: int) -> list[tuple[dict[int, int], int]]:
     """Sequence patterns (length to how often, number of sequences) that hold all pieces of a length histogram.
 
-    Lengths are served from the longest. While other lengths fill the gap
-    beside one exactly, as many such sequences are made as the counts allow.
-    What finds no exact complement is packed best-fit, again from the longest:
-    each goes where the least room is left. Pairs and triples help where short
-    pieces abound and waste them where each long piece needs its own, so the plan is
-    made with exact complements of up to 3, 2 and 1 lengths, and the one with the
-    fewest sequences is used. The work depends on the number of distinct lengths,
-    at most ``cap``, not on the number of pieces.
+    First all gaps beside a length that one other length fills exactly are filled, then those that two fill, then those
+    that three do; of each combination as many sequences are made as the counts allow. What finds no exact complement is
+    packed best-fit, from the longest: each goes where the least room is left. A gap that takes several short pieces takes
+    them from other long ones, so pairs and triples beside a length of over half a sequence take only
+    what there is more of short than of long pieces. Where gaps and short pieces match badly they can still cost
+    sequences: the plan is made with exact complements of up to 3, 2 and 1 lengths, and the one with the fewest
+    sequences is used. The work depends on the number of distinct lengths, at most ``cap``, not on the number of pieces.
     """
     plans = (_plan(histogram, cap, most) for most in (3, 2, 1))
     return min(plans, key=lambda plan: sum(n for _, n in plan))
@@ -230,20 +235,26 @@ def _plan(histogram: dict[int, int], cap: int, most: int) -> list[tuple[dict[int
     if counts[cap]:
         out.append(({cap: 1}, int(counts[cap])))
         counts[cap] = 0
-    left = np.zeros_like(counts)
-    for length in range(cap - 1, 0, -1):
-        while counts[length] > 0:
-            counts[length] -= 1
-            fill = _exact(counts, cap - length, most)
-            counts[length] += 1
-            if fill is None:
-                left[length], counts[length] = counts[length], 0
-                break
-            need = Counter([length, *fill])
-            n = int(min(counts[x] // k for x, k in need.items()))
-            for x, k in need.items():
-                counts[x] -= n * k
-            out.append((dict(need), n))
+    index, half = SumIndex(counts), cap // 2
+    for parts in range(1, most + 1):
+        # Large fillers first; a combination of three lengths or more always has a short one to start from.
+        for length in index.lengths:
+            while length <= half and counts[length] > 0 and (fill := index.find(cap - length, parts)):
+                need = Counter([length, *fill])
+                n = int(min(counts[x] // k for x, k in need.items()))
+                if parts > 1 and fill[0] > half:
+                    n = min(n, int(counts[: half + 1].sum() - counts[half + 1 :].sum()) // (parts - 1))
+                if n <= 0:
+                    break
+                for x, k in need.items():
+                    counts[x] -= n * k
+                out.append((dict(need), n))
+    return out + _best_fit(counts, cap)
+
+
+def _best_fit(left: np.ndarray, cap: int) -> list[tuple[dict[int, int], int]]:
+    """Patterns of what is ``left`` of each length, each piece where the least room is."""
+    out: list[tuple[dict[int, int], int]] = []
     # bins: room left -> open patterns with that room; rooms is their sorted list.
     bins: dict[int, list[tuple[dict[int, int], int]]] = {}
     rooms: list[int] = []
