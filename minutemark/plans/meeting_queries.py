@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..operators import attribution as at
 from ..operators import intervals as iv
-from ..operators import render
+from ..operators import render, tracks
 from ..shared import cut
 from . import recipes as r
 
@@ -136,6 +136,16 @@ def render_vtt(spark: SparkSession, d: str) -> DataFrame:
     return render.to_vtt(render.readable(_labelled(spark, d)))
 
 
+def long_track(spark: SparkSession, d: str) -> DataFrame:
+    """All events as one track: changes, intervals, short errors filled, runs; no task holds the track."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    reads = r.table(spark, d, "events").select("event_id", micros.alias("t_us"), F.col("event_type").alias("label"))
+    order = ["t_us", "event_id"]
+    held = tracks.to_intervals(tracks.rle_changes(reads, [], order, "label"), [], order, F.col("t_us") + 1_000_000)
+    filled = tracks.gap_fill(held, [], "label", 600_000_000, gap="error", order=order)
+    return tracks.islands(filled, [], order, "label", "run").select("event_id", "label", "s_us", "e_us", "run")
+
+
 def meetings_ready(spark: SparkSession, d: str) -> DataFrame:
     """Meetings with both a transcript and a track."""
     return r.segments(spark, d).select("meeting").distinct().join(r.changes(spark, d).select("meeting").distinct(), "meeting")
@@ -228,6 +238,12 @@ ORACLES = {
         chr(10) || chr(10) ORDER BY turn) || chr(10) AS value FROM (SELECT *, row_number() OVER (PARTITION BY meeting ORDER BY turn) AS n FROM labelled) GROUP BY meeting""",
     "render_vtt": r.ATTRIBUTION_SQL + f"""SELECT meeting, 'WEBVTT' || chr(10) || chr(10) || string_agg({_stamp('s_us', '.')} || ' --> ' || {_stamp('e_us', '.')} || chr(10)
         || '<v ' || {_SAID} || '>' || trim(text) || chr(10), chr(10) ORDER BY turn) AS value FROM labelled GROUP BY meeting""",
+    "long_track": """WITH reads AS (SELECT event_id, epoch_us(ts) AS t_us, event_type AS label FROM events),
+        changes AS (FROM reads QUALIFY row_number() OVER (ORDER BY t_us, event_id) = 1 OR label IS DISTINCT FROM lag(label) OVER (ORDER BY t_us, event_id)),
+        held AS (SELECT *, coalesce(lead(t_us) OVER w, t_us + 1000000) AS e_us, lag(label) OVER w AS b, lead(label) OVER w AS a FROM changes WINDOW w AS (ORDER BY t_us, event_id)),
+        filled AS (SELECT event_id, t_us AS s_us, e_us, CASE WHEN label = 'error' AND e_us - t_us <= 600000000 AND b = a AND b <> 'error' THEN b ELSE label END AS label FROM held),
+        marked AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE (label IS DISTINCT FROM lag(label) OVER w)::INT END AS new FROM filled WINDOW w AS (ORDER BY s_us, event_id))
+        SELECT event_id, label, s_us, e_us, sum(new) OVER (ORDER BY s_us, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS run FROM marked""",
     "meetings_ready": r.SQL + "SELECT DISTINCT meeting FROM segments INTERSECT SELECT DISTINCT meeting FROM changes",
     "meetings_missing_partner": """WITH a AS (SELECT DISTINCT doc_id AS meeting FROM labels), t AS (SELECT DISTINCT conv_id AS meeting FROM conversations)
         SELECT meeting, 'speaker track' AS missing FROM a WHERE meeting NOT IN (FROM t) UNION ALL SELECT meeting, 'transcript' AS missing FROM t WHERE meeting NOT IN (FROM a)""",
@@ -243,7 +259,7 @@ QUERIES = {
         rle_changes, distinct_speakers, frame_stats, dwell_intervals, gap_fill, coalesce_track, on_screen_time,
         overlap_screen_segments, overlap_by_buckets, cluster_tally, cluster_plurality, attribute_segments,
         attribute_unclustered, merge_turns, turn_provenance, raw_to_speaker, most_seen_label, label_turns,
-        transcript_stats, voice_cluster_overlap, render_txt, render_srt, render_vtt, meetings_ready,
+        transcript_stats, voice_cluster_overlap, render_txt, render_srt, render_vtt, long_track, meetings_ready,
         meetings_missing_partner, incremental_skip, prefer_primary_source, shard_assignment,
     )
 }
