@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from minutemark.llm import passages
@@ -441,3 +442,39 @@ def test_rows_that_hang_together_are_not_compared(monkeypatch):
         groups.join(i, j)
         met += zip(i.tolist(), j.tolist())
     assert met == [(0, k) for k in range(1, 30)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_word_that_many_texts_repeat_makes_few_pairs(seed, monkeypatch):
+    """Runs of one word with others before and behind: the pairs that are compared don't grow with the group's square."""
+    draw, n, middle = random.Random(seed), 600, passages.SIDE
+    voc, rows = vocabulary(draw), []
+    for k in range(n):
+        run = ["again"] * draw.randint(25, 49)
+        more = draw.choice([[], ["again"] * 3 + draw.choices(voc, k=2), ["tail%d" % draw.randrange(20)] * 40])
+        rows.append(draw.choices(voc, k=middle) + run + draw.choices(voc, k=draw.randrange(3)) + more + draw.choices(voc, k=middle))
+    around = np.stack([passages.contexts(passages.word_hashes(" ".join(r)), np.array([middle]))[2][0] for r in rows])
+    free = np.array([k % 3 > 0 for k in range(n)])
+    i, j = np.triu_indices(n, 1)
+    i, j = (c[free[i] | free[j]] for c in (i, j))
+    *_, can, do = passages.judged(around[i], around[j], (p := passages._plain(around))[i] & p[j])
+    met = []
+
+    def counted(a, b, plain, judged=passages.judged):
+        met.append(len(a))
+        return judged(a, b, plain)
+
+    monkeypatch.setattr(passages, "judged", counted)
+    ids = pa.array(np.arange(n))
+    columns = [pa.array(np.zeros(n, np.int64)), ids, pa.array(np.zeros(n, np.int64)), pa.array(free), ids, pa.array([a.tobytes() for a in around])]
+    batch = pa.RecordBatch.from_arrays(columns, ["key", "digest", "pos", "free", "partner", "around"])
+    got = {p for b in passages._likely_pairs(iter([batch])) for p in zip(b.column(1).to_pylist(), b.column(0).to_pylist())}
+    groups = passages.Groups(n)
+    groups.join(i[do], j[do])
+    apart = groups.apart(i, j)
+    assert got >= set(zip(i[can & apart].tolist(), j[can & apart].tolist())) and can.sum() > 100
+    again = passages.Groups(n)
+    again.join(*(np.array(c) for c in zip(*got)))
+    groups.join(i[can], j[can])
+    assert again.name.tolist() == groups.name.tolist()
+    assert sum(met) < 60 * n < len(i) / 3
